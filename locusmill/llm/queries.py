@@ -6,8 +6,11 @@ import importlib
 
 #: name: (module, function)
 PLACES = {
+    "op3_nested_secrets": ("secrets", "op3"),
     "op5_compression_bands": ("quality", "op5"),
+    "op7_best_fit_packing": ("packing", "op7"),
     "op8_simhash_pivots": ("simhash", "op8"),
+    "op9_pareto_mixing": ("mixing", "op9"),
 }
 ORACLES: dict[str, str] = {}
 

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import importlib
 
+from .hamming import SQL as TOP_K
+
 #: name: (module, function)
 PLACES = {
     "op3_nested_secrets": ("secrets", "op3"),
+    "op4_token_counts": ("wordpiece", "op4"),
     "op5_compression_bands": ("quality", "op5"),
+    "op6_hamming_top_k": ("hamming", "op6"),
     "op7_best_fit_packing": ("packing", "op7"),
     "op8_simhash_pivots": ("simhash", "op8"),
     "op9_pareto_mixing": ("mixing", "op9"),
+    "op10_lookup_sharding": ("sharding", "op10"),
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op6_hamming_top_k": TOP_K}
 
 
 def queries() -> dict:

@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from .common import as_bytes, map_batches, table
 
 SAMPLE, BUCKETS, DIM, FILTERS, WIDTHS, PREFIXES = 10_000, 1 << 15, 12, 8, (1, 2, 3), (0, 4, 5)
-EPOCHS, BATCH, RATE, DECAY, PREDICT = 24, 128, 0.02, 1e-4, 0.3
+EPOCHS, STEPS, BATCH, RATE, DECAY, PREDICT = 24, 900, 128, 0.02, 1e-4, 0.3
+DROP = 0.3  # share of the words hidden at a step, so that no single word carries a text
 CHUNK_BYTES = 1 << 20
 LEAST_ROWS = 50  # for a threshold of a language's own
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, lang_threshold double, lang_predicted int"
@@ -122,8 +123,10 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.scale[0] * self.raw(texts).astype(np.float64) + self.scale[1], -30, 30)))
 
 
-def fit(texts: list[bytes], labels: np.ndarray, seed: int = 2, epochs: int = EPOCHS) -> Model:
+def fit(texts: list[bytes], labels: np.ndarray, seed: int = 2, epochs: int | None = None) -> Model:
+    """epochs: EPOCHS, or as many as make STEPS steps if the rows are few."""
     rng = np.random.default_rng(seed)
+    epochs = epochs or max(EPOCHS, STEPS // -(-len(texts) // BATCH))
     m = Model(
         rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32),
         [rng.normal(0, 0.5, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS],
@@ -139,7 +142,9 @@ def fit(texts: list[bytes], labels: np.ndarray, seed: int = 2, epochs: int = EPO
         for o in range(0, len(order), BATCH):
             some = order[o : o + BATCH]
             ids = np.concatenate([data[i] for i in some])
-            bounds = np.cumsum([0, *(len(data[i]) for i in some)])
+            seen = rng.random(len(ids)) >= DROP
+            bounds = np.concatenate([[0], np.cumsum(seen)])[np.cumsum([0, *(len(data[i]) for i in some)])]
+            ids = ids[seen]
             pooled, where, x = m.pooled(ids, bounds)
             miss = (1 / (1 + np.exp(-np.clip(pooled @ m.read + m.shift[0], -30, 30))) - labels[some]).astype(np.float32) / len(some)
             back = miss[:, None] * m.read * (where >= 0)

@@ -8,6 +8,7 @@ from .hamming import SQL as TOP_K
 
 #: name: (module, function)
 PLACES = {
+    "op1_pitman_yor": ("pitman_yor", "op1"),
     "op2_toxicity_cnn": ("toxicity", "op2"),
     "op3_nested_secrets": ("secrets", "op3"),
     "op4_token_counts": ("wordpiece", "op4"),

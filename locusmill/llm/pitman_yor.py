@@ -40,7 +40,7 @@ D, THETA = 0.75, 0.5  # discount and strength of context restaurants
 ROOT_D, ROOT_THETA = 0.5, 1.0
 BURN, SAMPLES, THIN = 4, 3, 2
 SINGLE, STRIDE = 24, 0.1  # arrivals seated one by one; afterwards in steps of this share of those present
-CHUNK_BYTES, CHUNK_DOCS, BUCKET_TOKENS, HOT = 6_000_000, 60_000, 6_000_000, 2000
+CHUNK_BYTES, CHUNK_DOCS, BUCKET_TOKENS, HOT = 4_000_000, 60_000, 3_500_000, 2000
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 END = 0x5851F42D4C957F2D  # stands for the end of a text, and for the context of its first word

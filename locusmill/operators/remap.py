@@ -59,10 +59,14 @@ def checked_report(rows: DataFrame) -> DataFrame:
 
 
 def keepers(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with keeps: a native row, then the oldest, then the smallest id. Rows that still tie stay in a fixed order."""
+    """Rows with keeps: a native row, then the oldest, then the smallest id. Rows that still tie stay in a fixed order.
+
+    Groups of stored rows alone are no conflict of this run: all of them are kept.
+    """
     one = Window.partitionBy(*keys)
     order = [F.col("remapped_from").isNotNull(), F.col("created").asc_nulls_last(), F.col("accession"), F.col("ss_hash"), F.col("is_stored").desc()]
-    return rows.withColumn("n_rows", F.count("*").over(one)).withColumn("keeps", F.row_number().over(one.orderBy(*order)) == 1)
+    news = F.bool_or(~F.col("is_stored")).over(one)
+    return rows.withColumn("keeps", (F.row_number().over(one.orderBy(*order)) == 1) | ~news)
 
 
 def source_dates(incoming: DataFrame, source: DataFrame) -> DataFrame:
@@ -83,11 +87,13 @@ def ingest(incoming: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame
     same = [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in IDENTITY]
     skipped = new.alias("n").join(old.alias("o"), same, "left_semi")
     fresh = new.alias("n").join(old.alias("o"), same, "left_anti").dropDuplicates(IDENTITY)
+    touched = fresh.select("ss_hash").distinct(), fresh.select("accession").distinct()
+    old = old.join(touched[0], "ss_hash", "left_semi").unionByName(old.join(touched[0], "ss_hash", "left_anti").join(touched[1], "accession", "left_semi"))
     rows = fresh.withColumn("is_stored", F.lit(False)).unionByName(old.withColumn("is_stored", F.lit(True)).select(*fresh.columns, "is_stored"))
     by_hash = keepers(rows, ["seq", "ss_hash"])
-    by_id = keepers(by_hash.where("keeps").drop("n_rows", "keeps"), ["seq", "accession"])
-    lost = by_hash.where("not keeps").unionByName(by_id.where("not keeps")).drop("n_rows", "keeps")
-    return by_id.where("keeps and not is_stored").drop("n_rows", "keeps", "is_stored"), lost, skipped
+    by_id = keepers(by_hash.where("keeps").drop("keeps"), ["seq", "accession"])
+    lost = by_hash.where("not keeps").unionByName(by_id.where("not keeps")).drop("keeps")
+    return by_id.where("keeps and not is_stored").drop("keeps", "is_stored"), lost, skipped
 
 
 def discard_events(lost: DataFrame) -> DataFrame:

@@ -22,7 +22,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 START, INTERVAL = 5_000_000_000, 1000
-LOOKUPS = [30_011, 30_052, 41_003, 77_777, 1_000_000_001]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -182,11 +181,11 @@ def accession_count_check(sve, cve):
     return accession.missing(sve, cve, "rs_hash")
 
 
-@query("active_by_ids", f"WITH {SVE_SQL} SELECT accession, ss_hash FROM sve WHERE seq = '{ASSEMBLY}' AND accession IN ({', '.join(map(str, LOOKUPS))}) AND (accession >= 30000) = (source = 'current')")
-def active_by_ids(spark, sf_dir):
+@query("active_by_ids", f"WITH {SVE_SQL} SELECT accession, ss_hash FROM sve WHERE seq = '{ASSEMBLY}' AND accession % 7 = 3")
+@of("sve")
+def active_by_ids(sve):
     """R3."""
-    ids = spark.createDataFrame([(i,) for i in LOOKUPS], "accession long")
-    return accession.active(W.submitted(spark, sf_dir), ids, "seq", ASSEMBLY, W.CURRENT_FROM).select("accession", "ss_hash")
+    return accession.active(sve, sve.where("accession % 7 = 3"), "seq", ASSEMBLY, W.CURRENT_FROM).select("accession", "ss_hash")
 
 
 # --- scans ------------------------------------------------------------------------------------------------------
@@ -372,9 +371,9 @@ fillo AS (SELECT *, coalesce(evidence, true) AS e, coalesce(asm_match, true) AS
 fresh0 AS (SELECT * FROM fill n WHERE NOT EXISTS (SELECT 1 FROM fillo o WHERE o.accession = n.accession AND o.ss_hash = n.ss_hash AND o.tax = n.tax AND o.rs IS NOT DISTINCT FROM n.rs AND o.e = n.e AND o.a = n.a AND o.l = n.l
     AND o.v = n.v AND o.map_weight IS NOT DISTINCT FROM n.map_weight AND o.remapped_from IS NOT DISTINCT FROM n.remapped_from AND o.back_prop_rs IS NOT DISTINCT FROM n.back_prop_rs)),
 fresh AS (SELECT DISTINCT ON (accession, ss_hash, tax, rs, e, a, l, v, map_weight, remapped_from, back_prop_rs) * FROM fresh0),
-rows1 AS (SELECT *, false AS is_stored FROM fresh UNION ALL SELECT *, true FROM fillo),
-h AS (SELECT *, row_number() OVER (PARTITION BY seq, ss_hash ORDER BY remapped_from IS NOT NULL, created, accession, ss_hash, is_stored DESC) AS k FROM rows1),
-i AS (SELECT * EXCLUDE (k), row_number() OVER (PARTITION BY seq, accession ORDER BY remapped_from IS NOT NULL, created, accession, ss_hash, is_stored DESC) AS k FROM h WHERE k = 1)"""
+rows1 AS (SELECT *, false AS is_stored FROM fresh UNION ALL SELECT *, true FROM fillo WHERE ss_hash IN (SELECT ss_hash FROM fresh) OR accession IN (SELECT accession FROM fresh)),
+h AS (SELECT *, CASE WHEN bool_or(NOT is_stored) OVER (PARTITION BY seq, ss_hash) THEN row_number() OVER (PARTITION BY seq, ss_hash ORDER BY remapped_from IS NOT NULL, created, accession, ss_hash, is_stored DESC) ELSE 1 END AS k FROM rows1),
+i AS (SELECT * EXCLUDE (k), CASE WHEN bool_or(NOT is_stored) OVER (PARTITION BY seq, accession) THEN row_number() OVER (PARTITION BY seq, accession ORDER BY remapped_from IS NOT NULL, created, accession, ss_hash, is_stored DESC) ELSE 1 END AS k FROM h WHERE k = 1)"""
 
 
 def ingested(sve: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -530,7 +529,7 @@ def merge_chain(cvoe, cve):
 
 @query("release_merged", f"""WITH RECURSIVE {EVENTS_SQL}, {CHAIN}, f AS (SELECT rs AS origin, target, via FROM chain WHERE status = 'merged'),
     place AS (SELECT DISTINCT ON (accession, merge_into) accession AS via, merge_into AS target, contig, start, type, validated AS rs_validated FROM ours WHERE event = 'MERGED' ORDER BY accession, merge_into, rs_hash),
-    s AS (SELECT * FROM svoe WHERE event = 'UPDATED' AND seq = '{ASSEMBLY}' AND tax = {TAX}), allr AS (SELECT rs, bool_and(remapped_from IS NOT NULL) AS remapped_rs FROM s GROUP BY rs),
+    s AS (SELECT * FROM svoe WHERE event = 'UPDATED' AND seq = '{ASSEMBLY}' AND tax = {TAX + 1}), allr AS (SELECT rs, bool_and(remapped_from IS NOT NULL) AS remapped_rs FROM s GROUP BY rs),
     j AS (SELECT via AS rs, c.contig, s.start, s.ref, s.alt, {SO.format('c.type')}, s.study, rs_validated, {SS_FLAGS}, remapped_rs, target FROM f JOIN place c USING (via, target) JOIN s ON origin = s.rs JOIN allr r ON r.rs = origin
     WHERE s.reason LIKE 'Original%' AND {NEAR})
     SELECT rs, contig, start, ref, alt, {INFO}, array_to_string(list_sort(list(DISTINCT CAST(target AS VARCHAR))), ',') AS curr FROM j GROUP BY rs, contig, start, ref, alt""")
@@ -539,7 +538,7 @@ def release_merged(cvoe, svoe, cve):
     """J2, J5, S22, F11, H7, H9. Of several merges of an id into the same target the one with the first hash gives the place."""
     first = cvoe.where(F.col("inactive")[0]["asm"] == ASSEMBLY).where("event = 'MERGED'")
     first = cluster.best(first, ["accession", "merge_into"], F.col("inactive")[0]["rs_hash"])
-    return release.merged(first.unionByName(cvoe.where("event <> 'MERGED'")), svoe, cve, ASSEMBLY, TAX)
+    return release.merged(first.unionByName(cvoe.where("event <> 'MERGED'")), svoe, cve, ASSEMBLY, TAX + 1)
 
 
 @query("release_deprecated", f"""WITH {EVENTS_SQL} SELECT DISTINCT accession AS rs FROM cvoe WHERE event = 'DEPRECATED' AND asm = '{ASSEMBLY}' AND accession IN

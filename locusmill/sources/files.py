@@ -10,11 +10,11 @@ from ..functions import expr as E
 COLUMNS = ("contig", "start", "ids", "ref", "alt", "qual", "filter", "info")
 
 
-def body(lines: DataFrame) -> DataFrame:
-    """Tab-separated VCF fields as columns; missing trailing ones are null. lines: a column value."""
+def body(lines: DataFrame, *more: str) -> DataFrame:
+    """Tab-separated VCF fields as columns; missing trailing ones are null. lines: a column value, and more to keep."""
     f = F.split("value", "\t")
     fields = [F.try_element_at(f, F.lit(i + 1)).alias(n) for i, n in enumerate(COLUMNS)]
-    rows = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).select(*fields)
+    rows = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).select(*fields, *more)
     return rows.withColumn("start", F.col("start").try_cast("long"))
 
 
@@ -72,7 +72,8 @@ def vcf_remapped(lines: DataFrame) -> DataFrame:
 
 def ss_ids_of_vcf(lines: DataFrame) -> DataFrame:
     """S13."""
-    return body(lines).select(F.explode(F.regexp_extract_all("ids", F.lit(r"ss(\d+)"), 1)).cast("long").alias("accession"))
+    ids = F.regexp_extract_all("ids", F.lit(r"ss(\d+)"), 1)
+    return body(lines).select(F.explode(F.transform(ids, lambda x: x.cast("long"))).alias("accession"))
 
 
 def id_list(lines: DataFrame) -> DataFrame:

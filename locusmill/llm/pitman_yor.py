@@ -68,11 +68,18 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     ink = ~((buf == 32) | ((buf >= 9) & (buf <= 13)))
     edge = np.diff(ink.astype(np.int8), prepend=0)
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    power = np.full(len(buf), BASE, np.uint64)
+    power = np.full(len(buf), BASE, np.uint64)  # arrays of a chunk's length are few and used again
     power[0] = 1
-    total = np.concatenate([[np.uint64(0)], np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * np.cumprod(power))])
-    power[1:] = INVERSE
-    h = mix((total[end] - total[start]) * np.cumprod(power)[start])
+    total = buf.astype(np.uint64)
+    total += np.uint64(1)
+    total *= np.cumprod(power, out=power)
+    np.cumsum(total, out=total)
+    before = np.where(start > 0, total[start - 1], np.uint64(0))
+    h = total[end - 1] - before
+    del total
+    power[:] = INVERSE
+    power[0] = 1
+    h = mix(h * np.cumprod(power, out=power)[start])
     cuts = np.searchsorted(start, np.cumsum([0, *(len(t) + 1 for t in texts)]))
     return np.insert(h, cuts[1:], np.uint64(END)), cuts + np.arange(len(cuts))
 

@@ -39,13 +39,16 @@ def get_or_create(wanted: DataFrame, known: DataFrame, key: str, start: int, int
     return old.unionByName(new.select(key, block_id(F.col("n"), start, interval).alias("accession"), F.lit(True).alias("is_new")))
 
 
-def recovered(blocks: DataFrame, used: DataFrame, cutoff: Column) -> DataFrame:
+def recovered(blocks: DataFrame, used: DataFrame, cutoff: Column, width: int = 100_000) -> DataFrame:
     """L3: blocks not updated since cutoff are released; last_committed becomes the end of the unbroken run of used ids.
 
-    used: accession. Ids are matched to blocks by range within a category's blocks, of which there are few.
+    used: accession. Blocks and ids meet in bins of width ids, an equi-join; a block spans as many bins as it needs.
     """
-    stale = blocks.where(F.col("reserved") & (F.col("updated") < cutoff))
-    inside = used.select("accession").distinct().join(F.broadcast(stale.select("id", "first_value", "last_value")), F.col("accession").between(F.col("first_value"), F.col("last_value")))
+    stale = blocks.where(F.col("reserved") & (F.col("updated") < cutoff)).select("id", "first_value", "last_value")
+    low, high = (F.floor(F.col(x) / width) for x in ("first_value", "last_value"))
+    binned = stale.withColumn("bin", F.explode(F.sequence(low, high)))
+    ids = used.select("accession").distinct().withColumn("bin", F.floor(F.col("accession") / width))
+    inside = ids.join(binned, "bin").where(F.col("accession").between(F.col("first_value"), F.col("last_value")))
     n = F.row_number().over(Window.partitionBy("id").orderBy("accession"))
     run = inside.withColumn("gap", F.col("accession") - F.col("first_value") - n + 1).where("gap = 0")
     ends = run.groupBy("id").agg(F.max("accession").alias("__end"))

@@ -39,9 +39,16 @@ def report_difference(report: DataFrame, expected: DataFrame, keys: list[str]) -
 
 def report_status(report: DataFrame, expected: DataFrame, keys: list[str]) -> DataFrame:
     """One row: what is missing on either side, duplicates (rows beyond the distinct ones), and the verdict."""
-    diff = report_difference(report, expected, keys).agg(F.count_if(F.col("side") == "report").alias("only_report"), F.count_if(F.col("side") == "input").alias("only_input"))
-    count = lambda df, name: df.agg((F.count("*") - F.countDistinct(F.struct(*keys))).alias(name))
-    both = diff.crossJoin(count(report, "duplicates_report")).crossJoin(count(expected, "duplicates_input"))  # three single rows
+    zero = F.lit(0).cast("long")
+
+    def part(rows: DataFrame, **counts) -> DataFrame:
+        names = ("only_report", "only_input", "duplicates_report", "duplicates_input")
+        return rows.agg(*(counts.get(n, zero).alias(n) for n in names))
+
+    repeats = F.count("*") - F.countDistinct(F.struct(*keys))
+    diff = part(report_difference(report, expected, keys), only_report=F.count_if(F.col("side") == "report"), only_input=F.count_if(F.col("side") == "input"))
+    both = diff.unionByName(part(report, duplicates_report=repeats)).unionByName(part(expected, duplicates_input=repeats))
+    both = both.agg(*(F.sum(n).alias(n) for n in both.columns))
     return both.withColumn("status", F.when(F.col("only_report") + F.col("only_input") > 0, "FAILED").otherwise("COMPLETED"))
 
 

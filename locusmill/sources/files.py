@@ -142,20 +142,42 @@ def dbsnp_json(lines: DataFrame, refseq_assembly: str, genbank_assembly: str, ta
 CHUNK = 1000
 
 
+def fasta_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, block, line_no, value: lines in order within the blocks in which Spark reads a file, and blocks by their start."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    return lines.select(F.col("file_path").alias("file"), F.col("file_block_start").alias("block"), F.monotonically_increasing_id().alias("line_no"), F.trim("value").alias("value"))
+
+
 def fasta(lines: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Contig, chunk_no, bases: a FASTA text cut into chunks. lines: file, line_no and value.
+    """Contig, chunk_no, bases: a FASTA text cut into chunks. lines: as of fasta_lines().
 
-    A line's place in its contig is a running sum over the file's lines, so files that hold many contigs are read once.
+    A line's contig and place are running values within its block; what a block's first lines lack comes of the blocks
+    before, of which a file has few. No task reads more than a block.
     """
-    w = Window.partitionBy("file").orderBy("line_no")
+    w = Window.partitionBy("file", "block").orderBy("line_no")
     head = F.col("value").startswith(">")
-    name = F.last(F.when(head, F.regexp_extract("value", r"^>(\S+)", 1)), ignorenulls=True).over(w)
-    rows = lines.withColumn("contig", name).where(~head & (F.trim("value") != ""))
-    before = Window.partitionBy("file", "contig").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("bases", F.trim("value")).withColumn("at", F.coalesce(F.sum(F.length("bases")).over(before), F.lit(0)))
+    rows = lines.where("value <> ''").withColumns({
+        "name": F.last(F.when(head, F.regexp_extract("value", r"^>(\S+)", 1)), ignorenulls=True).over(w),
+        "part": F.sum(F.when(head, 1).otherwise(0)).over(w), "size": F.when(head, 0).otherwise(F.length("value")),
+    })
+    last = Window.partitionBy("file", "block")
+    ends = rows.withColumn("parts", F.max("part").over(last)).groupBy("file", "block").agg(
+        F.max_by("name", "part").alias("end_name"), F.max("part").alias("parts"), F.sum(F.when(F.col("part") == F.col("parts"), F.col("size")).otherwise(0)).alias("tail")
+    )
+    order = Window.partitionBy("file").orderBy("block")
+    ends = ends.withColumn("run", F.sum(F.when(F.col("parts") > 0, 1).otherwise(0)).over(order))
+    so_far = Window.partitionBy("file", "run").orderBy("block")
+    ends = ends.withColumn("sum", F.sum("tail").over(so_far))
+    carried = ends.select("file", "block", F.last("end_name", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("old_name"), F.coalesce(F.lag("sum").over(order), F.lit(0)).alias("old_at"))
+    before = Window.partitionBy("file", "block", "part").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("at", F.coalesce(F.sum("size").over(before), F.lit(0))).where(~head).join(carried, ["file", "block"])
+    first_part = F.col("part") == 0
+    rows = rows.select(
+        F.when(first_part, F.col("old_name")).otherwise(F.col("name")).alias("contig"), (F.col("at") + F.when(first_part, F.col("old_at")).otherwise(0)).alias("at"), F.col("value").alias("bases")
+    )
     first = F.floor(F.col("at") / chunk)
-    last = F.floor((F.col("at") + F.length("bases") - 1) / chunk)
-    parts = rows.select("contig", "at", "bases", F.explode(F.sequence(first, last)).alias("chunk_no"))
+    last_chunk = F.floor((F.col("at") + F.length("bases") - 1) / chunk)
+    parts = rows.select("contig", "at", "bases", F.explode(F.sequence(first, last_chunk)).alias("chunk_no"))
     lo = F.greatest(F.col("chunk_no") * chunk - F.col("at"), F.lit(0))
     hi = F.least((F.col("chunk_no") + 1) * chunk - F.col("at"), F.length("bases"))
     piece = F.substring("bases", (lo + 1).cast("int"), (hi - lo).cast("int"))
@@ -164,12 +186,6 @@ def fasta(lines: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return parts.groupBy("contig", "chunk_no").agg(joined.alias("bases"))
 
 
-def fasta_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, line_no, value. Line numbers come of whole files, as FASTA has none of its own."""
-    text = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    return text.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "value"))
-
-
 def base_at(rows: DataFrame, sequence: DataFrame, position: Column, name: str, contig: str = "contig", chunk: int = CHUNK) -> DataFrame:
     """Rows with the base at a position of their contig; null where there is none. One equi-join on the chunk."""
     have = sequence.select(F.col("contig").alias("__contig"), F.col("chunk_no").alias("__no"), F.col("bases").alias("__bases"))

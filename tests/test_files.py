@@ -75,6 +75,21 @@ def test_context_base(spark, tmp_path):
     (tmp_path / "a.fa").write_text(">22 first\nTAC\nGGA\n>33\nCCCC\n")
     seq = files.fasta(files.fasta_lines(spark, str(tmp_path / "a.fa")), chunk=4)
     assert {(r.contig, r.chunk_no): r.bases for r in seq.collect()} == {("22", 0): "TACG", ("22", 1): "GA", ("33", 0): "CCCC"}
+    rng = __import__("random").Random(1)
+    genome = {f"k{i}": "".join(rng.choice("ACGT") for _ in range(rng.randint(1, 400))) for i in range(12)}
+    (tmp_path / "b.fa").write_text("".join(f">{k} x\n" + "".join(v[i : i + 7] + "\n" for i in range(0, len(v), 7)) for k, v in genome.items()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        many = files.fasta_lines(spark, str(tmp_path / "b.fa"))
+        assert many.select("block").distinct().count() > 5
+        got = {}
+        for r in files.fasta(many, chunk=16).orderBy("contig", "chunk_no").collect():
+            got[r.contig] = got.get(r.contig, "") + r.bases
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == genome
     from locusmill.functions import expr as E
 
     df = spark.createDataFrame([("22", 1, "", "A"), ("22", 2, "", "A"), ("22", 1, "", "CA"), ("22", 6, "A", ""), ("22", 9, "", "A")], "contig string, start long, ref string, alt string")

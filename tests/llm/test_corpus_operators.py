@@ -381,3 +381,19 @@ def test_pipeline(spark, tmp_path):
     got = corpus_pipeline.run(spark, folder).collect()
     check_packing(mixed, got, packing.CAPACITY)
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+CLASHES = ("row", "id", "head", "fp", "label", "size", "target", "copies", "rank", "u", "p", "last", "s", "__s", "slice", "kept", "spans", "component_id", "piece", "length", "offset", "grp", "a.b")
+
+
+def test_stages_on_odd_tables(spark):
+    rows = [*ODD, (20, "same words over and over " * 3, None), (21, "plain " + " ".join(f"w{i}" for i in range(60)), None), (21, "plain " + " ".join(f"w{i}" for i in range(60)), None)]
+    df = docs(spark, rows).withColumn("lang", F.lit(None).cast("string"))
+    for c in CLASHES:
+        df = df.withColumn(c, F.lit("mine"))
+    for table in (df, df.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, table, "")
+            assert out.columns == df.columns, name
+            assert all(r.row == "mine" and r["a.b"] == "mine" for r in out.collect())
+        assert corpus_pipeline.STAGES[-1][1](spark, table, "").count() == (0 if table is not df else sum(-(-(len(packing.encode(t or "")) + 1) // 2048) for _, t, *_ in rows))

@@ -24,21 +24,33 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_cut(df: DataFrame) -> None:
+    """Removes the files behind a frame that cut() made, once nothing reads it any more."""
+    spark = df.sparkSession
+    for f in df.inputFiles()[:1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f).getParent()
+        if path.toString().startswith(shared_dir(spark)):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def components(edges: DataFrame, keys: list[str], a: str, b: str, most_rounds: int = 60) -> DataFrame:
     """Keys, node, label: per key, the smallest node that edges (a, b) reach. Nodes are of one type.
 
     Large-star and small-star rounds: the number of rounds follows the logarithm of a chain's length, not its length.
     """
     k = [F.col(x) for x in keys]
-    links = cut(edges.select(*k, F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).distinct())
-    loops, links, state = links.where("lo = hi"), links.where("lo < hi"), None
+    given = cut(edges.select(*k, F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).distinct())
+    loops, links, state = given.where("lo = hi"), given.where("lo < hi"), None
     for _ in range(most_rounds):
         both = links.select(*k, F.col("hi").alias("u"), F.col("lo").alias("v")).union(links.select(*k, F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy(*k, "u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.where("v > u").join(least, [*keys, "u"]).select(*k, F.col("m").alias("lo"), F.col("v").alias("hi"))
         low = large.groupBy(*k, "hi").agg(F.min("lo").alias("m"))
         small = large.join(low, [*keys, "hi"]).select(*k, F.col("m").alias("lo"), F.col("lo").alias("hi"))
-        links = cut(small.union(low.select(*k, F.col("m").alias("lo"), "hi")).where("lo < hi").distinct())
+        fresh = cut(small.union(low.select(*k, F.col("m").alias("lo"), "hi")).where("lo < hi").distinct())
+        if state is not None:
+            drop_cut(links)
+        links = fresh
         now = links.agg(F.count("*"), F.sum(F.xxhash64(*keys, "lo", "hi").cast("decimal(38,0)"))).first()
         if now == state:
             break

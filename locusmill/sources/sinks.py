@@ -129,3 +129,8 @@ def corrected_contigs(sve: DataFrame, contigs: DataFrame, most: int | None = Non
     old = F.when(F.col("ss_hash") != E.ss_hash(), F.raise_error(F.concat(F.lit("hash does not match its row: "), "ss_hash"))).otherwise(F.col("ss_hash"))
     rows = rows.withColumn("old_hash", old).withColumn("contig", F.col("genbank")).withColumn("ss_hash", E.ss_hash())
     return rows.select("old_hash", *sve.columns)
+
+
+def flattened(rows: DataFrame, column: str) -> DataFrame:
+    """One row per element of a nested list, its fields as columns; empty and missing lists give none."""
+    return rows.select(F.inline(column))

@@ -105,12 +105,15 @@ def learnt(ids: list) -> np.ndarray:
 
 
 def heavy(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Dishes with a share above 1 / HOT of all tokens, and the number of tokens."""
+    """Dishes with a share above 1 / HOT of all tokens, and the number of tokens.
+
+    Chunks report dishes above half that share, at most 2 * HOT each, so a dish may be missed up to 1.5 / HOT.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in chunks(batches):
             words, n = np.unique(tokens(texts)[0], return_counts=True)
-            most = n * 2 * HOT >= n.sum()  # a dish above the limit is above half of it in most of the tokens
+            most = n * 2 * HOT >= n.sum()
             w = np.concatenate([words[most].view(np.int64), [0]])
             yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(np.concatenate([n[most], [n.sum()]]))], ["w", "n"])
 

@@ -79,6 +79,13 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_representatives_under_null_and_repeated_ids(spark):
+    texts = prose(random.Random(21), 9)
+    rows = [(None, t) for t in texts[:3]] + [(7, t) for t in texts[3:6]] + [(8, texts[6]), (9, texts[6]), (9, texts[7]), (None, texts[7]), (None, texts[8]), (None, texts[8])]
+    got = Counter((r.doc_id, r.text) for r in simhash.representatives(docs(spark, rows)).collect())
+    assert got == Counter([*rows[:6], (8, texts[6]), (9, texts[7]), (None, texts[8])])
+
+
 @pytest.mark.parametrize("radius, parts", [(3, 5), (3, 4), (2, 6)])
 def test_links_lose_none(spark, radius, parts):
     rng = np.random.default_rng(1)

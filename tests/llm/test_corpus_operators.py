@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from locusmill.llm import mixing, packing, pitman_yor, quality, secrets, simhash, toxicity
+from locusmill.llm import mixing, packing, pitman_yor, quality, secrets, shingles, simhash, toxicity
 from locusmill.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -362,6 +362,51 @@ def test_hashed_words_do_not_depend_on_neighbours():
     assert all((together[bounds[i] : bounds[i + 1]] == alone[i]).all() for i in range(3)) and bounds.tolist() == [0, 2, 2, 52]
 
 
+# --- similarity of shingles -----------------------------------------------------------------------------------
+
+
+def shingle_set(text):
+    words = (text or "").encode().lower().split()
+    return frozenset(b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def test_planted_near_copies(spark):
+    rng = random.Random(8)
+    rows = [(10 + i, t) for i, t in enumerate(prose(rng, 40, 300))]
+    for i in range(160):
+        words = rng.choice(rows[:40])[1].split()
+        for _ in range(rng.randint(0, len(words) // 25)):
+            words[rng.randrange(len(words))] = f"changed{i}"
+        rows.append((200 + i, " ".join(words)))
+    base = rows[0][1].split()
+    rows += [(1000 + i, " ".join([*base[:i], "x", *base[i + 1 :]])) for i in range(60)] + ODD  # a class that spans chunks
+    sets, label = [shingle_set(t) for _, t in rows], list(range(len(rows)))
+    close = [(i, j) for i in range(len(rows)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    for i, j in close:
+        a, b = label[i], label[j]
+        label = [b if x == a else x for x in label]
+    keyed = docs(spark, rows).select(F.monotonically_increasing_id().cast("string").alias("key"), "doc_id", "text")
+    keyed = spark.createDataFrame([(str(i), *r) for i, r in enumerate(rows)], keyed.schema)
+    got = {int(r.key): r.label for r in shingles.similar(keyed, 32).collect()}
+    assert len(got) == len(rows) and len({*zip(label, (got[i] for i in range(len(rows))))}) == len({*label}) == len({*got.values()})
+    assert sum(j < 1 for j in (len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in close)) > 100
+    kept = [r.doc_id for r in corpus_pipeline.near_dedup(spark, docs(spark, rows), "").collect()]
+    assert len(kept) == len({*label})
+
+
+def test_dealt_chunks_lose_no_link():
+    rng = random.Random(3)
+    pairs = {(rng.randrange(30), rng.randrange(30)) for _ in range(25)}
+    near = lambda i, others: np.array([j for j in others.tolist() if (i, j) in pairs or (j, i) in pairs], np.int64)
+    label = list(range(30))
+    for a, b in [*pairs, *shingles.spanning(30, 30, True, near)]:
+        label = [min(label[a], label[b]) if x in (label[a], label[b]) else x for x in label]
+    other = list(range(30))
+    for a, b in shingles.spanning(30, 30, True, near):
+        other = [min(other[a], other[b]) if x in (other[a], other[b]) else x for x in other]
+    assert label == other
+
+
 # --- pipeline ---------------------------------------------------------------------------------------------------
 
 

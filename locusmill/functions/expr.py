@@ -26,9 +26,22 @@ def required(x: Column | str, what: str) -> Column:
     return F.when(c(x).isNull(), F.raise_error(F.lit(f"{what} must not be null"))).otherwise(c(x).cast("string"))
 
 
+def summary(*parts: Column | str) -> Column:
+    """The parts joined by underscores: what an identity is made of, and what breaks ties between identities."""
+    return F.concat_ws("_", *(required(p, str(i)) for i, p in enumerate(parts)))
+
+
 def digest(*parts: Column | str) -> Column:
-    """The upper-case SHA-1 of the parts, joined by underscores."""
-    return F.upper(F.sha1(F.concat_ws("_", *(required(p, str(i)) for i, p in enumerate(parts)))))
+    """The upper-case SHA-1 of the summary of the parts."""
+    return F.upper(F.sha1(summary(*parts)))
+
+
+def ss_summary(seq="seq", study="study", contig="contig", start="start", ref="ref", alt="alt") -> Column:
+    return summary(seq, study, contig, start, ref, alt)
+
+
+def rs_summary(asm="seq", contig="contig", start="start", kind="type") -> Column:
+    return summary(asm, contig, start, kind)
 
 
 def ss_hash(seq="seq", study="study", contig="contig", start="start", ref="ref", alt="alt") -> Column:

@@ -37,21 +37,21 @@ def merge_destinations(sve: DataFrame) -> DataFrame:
 
 
 def loci(sve: DataFrame) -> DataFrame:
-    """seq, rs, rs_hash, n_ss, min_ss of each locus of an RS: what the split policy looks at. A15: a row (hash, accession) counts once."""
-    distinct = sve.where("rs is not null").select("seq", "rs", "rs_hash", "ss_hash", "accession").distinct()
-    return distinct.groupBy("seq", "rs", "rs_hash").agg(F.count("*").alias("n_ss"), F.min("accession").alias("min_ss"))
+    """seq, rs, rs_hash, n_ss, min_ss, summary of each locus of an RS: what the split policy looks at. A15: a row (hash, accession) counts once."""
+    distinct = sve.where("rs is not null").select("seq", "rs", "rs_hash", "ss_hash", "accession", E.rs_summary().alias("summary")).distinct()
+    return distinct.groupBy("seq", "rs", "rs_hash").agg(F.count("*").alias("n_ss"), F.min("accession").alias("min_ss"), F.min("summary").alias("summary"))
 
 
 def split_ranks(sve: DataFrame) -> DataFrame:
-    """loci() of RSs at several loci, with keeps: most submissions, then the oldest, then the first hash."""
+    """loci() of RSs at several loci, with keeps: most submissions, then the oldest, then the first summary (what the hash is made of)."""
     one = Window.partitionBy("seq", "rs")
     rows = loci(sve).withColumn("n_loci", F.count("*").over(one)).where("n_loci > 1")
-    n = F.row_number().over(one.orderBy(F.desc("n_ss"), "min_ss", "rs_hash"))
+    n = F.row_number().over(one.orderBy(F.desc("n_ss"), "min_ss", "summary"))
     return rows.withColumn("keeps", n == 1)
 
 
 def duplicate_ss_ranks(sve: DataFrame) -> DataFrame:
-    """Rows of a submitted id at several loci of an assembly, with keeps: an RS, then evidence, then the first hash.
+    """Rows of a submitted id at several loci of an assembly, with keeps: an RS, then evidence, then the first summary (what the hash is made of).
 
     Multimapped, mismatching and remapped rows are not looked at.
     """
@@ -59,7 +59,7 @@ def duplicate_ss_ranks(sve: DataFrame) -> DataFrame:
     rows = rows.dropDuplicates(["seq", "accession", "ss_hash"])
     one = Window.partitionBy("seq", "accession")
     rows = rows.withColumn("n_rows", F.count("*").over(one)).where("n_rows > 1")
-    n = F.row_number().over(one.orderBy(F.col("rs").isNull(), ~E.flag("evidence", True), "ss_hash"))
+    n = F.row_number().over(one.orderBy(F.col("rs").isNull(), ~E.flag("evidence", True), E.ss_summary()))
     return rows.withColumn("keeps", n == 1)
 
 

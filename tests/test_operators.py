@@ -73,6 +73,15 @@ def test_merge_over_several_levels(spark):
     assert pairs(after.where("seq = 'other'"), "rs") == [(3,)]
 
 
+def test_ties_of_splits_go_by_summary(spark):
+    """Equal support and the same oldest submission: the first of the texts that the hashes are made of keeps the id, whatever the hashes."""
+    rows = sve(spark, *((1, 5, at) for at in (100, 20, 3, 1000)))
+    kept = cluster.split_ranks(rows).where("keeps").join(rows, "rs_hash").select("start").distinct().collect()
+    assert [r.start for r in kept] == [1000]  # ..._c1_1000_SNV comes before ..._c1_100_SNV, as digits come before the underscore
+    twice = sve(spark, *((7, None, 50, {"contig": c, "evidence": e}) for c, e in (("c9", True), ("c10", True), ("c2", True), ("c1", False))))
+    assert [r.contig for r in cluster.duplicate_ss_ranks(twice).where("keeps").collect()] == ["c10"]
+
+
 def test_split_by_support(spark):
     rows = sve(spark, (1, 5, 100), (2, 5, 101), (3, 5, 101, {"alt": "G"}), (4, 5, 102))
     after, events, created = cluster.split(rows, 900, 10)

@@ -73,6 +73,33 @@ def test_quality(spark):
     assert [(r.doc_id, r.kept) for r in kept.collect()] == [(len(ODD), "clash")]
 
 
+def brute_bands(text):
+    """ratio, n_chunks, n_bad_chunks and the verdict, from the rules as they are written down."""
+    raw, squeeze = text.encode(), lambda x: len(zstandard.ZstdCompressor(level=3).compress(x))
+    bands = {64: (0.0, 2.5), 256: (0.6, 3.0), 1024: (1.1, 3.5), 4096: (1.25, 4.0), 16384: (1.35, 5.0), 1 << 62: (1.35, 5.5)}
+    ratio = len(raw) / squeeze(raw) if raw else 0.0
+    low, high = bands[min(n for n in bands if n >= len(raw))]
+    pieces, at = [], 0
+    while len(raw) > 4096 and at < len(raw):
+        pieces.append(raw[at : at + 4096] if at + 4096 <= len(raw) else raw[-4096:])
+        at += 4096
+    bad = sum(not 1.2 <= 4096 / squeeze(x) <= 6.0 for x in pieces)
+    return ratio, len(pieces), bad, not brute_quality(text)[5] and low <= ratio <= high and 2 * bad <= len(pieces)
+
+
+def test_bands_against_brute_force(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    noise = lambda n: base64.b85encode(rng.randbytes(n)).decode()
+    texts = [prose(n) for n in (5, 25, 60, 200, 700, 1500, 4000)] + [prose(700) + " " + noise(n) for n in (100, 2000, 3300, 9000)] + ["ab cd " * 700 + prose(400), noise(3277)[:4096], "x" * 4096, "y" * 4097]
+    texts += [prose(560)[:4096], prose(1400)[:8192], prose(1400)[:8193], prose(700)[:4090] + "z " * 2500]
+    rows = quality.quality(docs(spark, texts)).collect()
+    got = {r.doc_id: (r.ratio, r.n_chunks, r.n_bad_chunks, r.kept) for r in rows}
+    assert got == {i: brute_bands(t) for i, t in enumerate(texts)}
+    assert {r.kept for r in rows} == {True, False}
+
+
 # --- op3 --------------------------------------------------------------------------------------------------------
 
 HEX = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"

@@ -4,12 +4,14 @@ A word's vector is the sum of three hashed embeddings: of the whole word, and of
 so that a word never seen still has the vectors of its family. Filters of several widths run over the words of a text;
 each keeps its largest response, and a logistic unit reads these. Gradients reach only the winning windows.
 
-Training rows are a sample of at most SAMPLE labelled rows (the lowest hashes of their ids; a parameter). A fifth of
-them is held back to map raw outputs to probabilities and to calibrate, for every language with enough rows, the
+Training rows are a sample of at most SAMPLE labelled rows (the lowest hashes of their ids; a parameter), with whole
+texts of SAMPLE_BYTES together at most (a parameter). A fifth of them
+is held back to map raw outputs to probabilities and to calibrate, for every language with enough rows, the
 threshold that gives the best F1. Scores see the text alone.
 
 Defined results: a null text is empty; an empty text has the score of no response of any filter. Repeated rows give
-equal rows. Labels that are null are not used; without any labels of both kinds all scores are 0.
+equal rows. Labels that are null are not used, equal label rows count once, and a document that has both labels learns
+from both, in a fixed order; without any labels of both kinds all scores are 0.
 """
 
 from __future__ import annotations
@@ -19,11 +21,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import as_bytes, map_batches, table
 
+SAMPLE_BYTES = 64 << 20
 SAMPLE, BUCKETS, DIM, FILTERS, WIDTHS, PREFIXES = 10_000, 1 << 15, 12, 8, (1, 2, 3), (0, 4, 5)
 EPOCHS, STEPS, BATCH, RATE, DECAY, PREDICT = 24, 900, 128, 0.02, 1e-4, 0.3
 DROP = 0.3  # share of the words hidden at a step, so that no single word carries a text
@@ -123,6 +126,26 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.scale[0] * self.raw(texts).astype(np.float64) + self.scale[1], -30, 30)))
 
 
+def gradients(m: Model, ids: np.ndarray, bounds: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
+    """Of the mean log loss plus half DECAY times the squares of filters and reading weights, by m's parameters in order."""
+    params = [m.table, *m.filters, m.bias, m.read, m.shift]
+    pooled, where, x = m.pooled(ids, bounds)
+    miss = (1 / (1 + np.exp(-np.clip(pooled @ m.read + m.shift[0], -30, 30))) - labels).astype(m.read.dtype) / len(labels)
+    back = miss[:, None] * m.read * (where >= 0)
+    grads = [np.zeros_like(p) for p in params]
+    grads[-2], grads[-1][0], grads[-3] = pooled.T @ miss + DECAY * m.read, miss.sum(), back.sum(0)
+    for k, w in enumerate(m.filters):
+        for j in range(len(w)):
+            for f in range(w.shape[2]):
+                c = k * w.shape[2] + f
+                on = np.flatnonzero(where[:, c] >= 0)
+                at, g = where[on, c] + j, back[on, c]
+                grads[1 + k][j, :, f] += x[at].T @ g + DECAY * w[j, :, f]
+                for h in range(ids.shape[1]):
+                    np.add.at(grads[0], ids[at, h], g[:, None] * w[j, :, f])
+    return grads
+
+
 def fit(texts: list[bytes], labels: np.ndarray, seed: int = 2, epochs: int | None = None) -> Model:
     """epochs: EPOCHS, or as many as make STEPS steps if the rows are few."""
     rng = np.random.default_rng(seed)
@@ -145,20 +168,7 @@ def fit(texts: list[bytes], labels: np.ndarray, seed: int = 2, epochs: int | Non
             seen = rng.random(len(ids)) >= DROP
             bounds = np.concatenate([[0], np.cumsum(seen)])[np.cumsum([0, *(len(data[i]) for i in some)])]
             ids = ids[seen]
-            pooled, where, x = m.pooled(ids, bounds)
-            miss = (1 / (1 + np.exp(-np.clip(pooled @ m.read + m.shift[0], -30, 30))) - labels[some]).astype(np.float32) / len(some)
-            back = miss[:, None] * m.read * (where >= 0)
-            grads = [np.zeros_like(p) for p in params]
-            grads[-2], grads[-1][0], grads[-3] = pooled.T @ miss + DECAY * m.read, miss.sum(), back.sum(0)
-            for k, w in enumerate(m.filters):
-                for j in range(len(w)):
-                    for f in range(FILTERS):
-                        c = k * FILTERS + f
-                        on = np.flatnonzero(where[:, c] >= 0)
-                        at, g = where[on, c] + j, back[on, c]
-                        grads[1 + k][j, :, f] += x[at].T @ g + DECAY * w[j, :, f]
-                        for h in range(ids.shape[1]):
-                            np.add.at(grads[0], ids[at, h], g[:, None] * w[j, :, f])
+            grads = gradients(m, ids, bounds, labels[some])
             step += 1
             for p, g, a, b in zip(params, grads, first, second):
                 a += 0.1 * (g - a)
@@ -190,13 +200,19 @@ def calibrate(m: Model, texts: list[bytes], labels: np.ndarray, langs: list[str
             m.thresholds[lang] = float(np.median(tries[np.array(f1) >= max(f1) - 1e-12]))
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column], sample: int = SAMPLE, label_col: str = "toxic") -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column], sample: int = SAMPLE, most_bytes: int = SAMPLE_BYTES, label_col: str = "toxic") -> Model | None:
     """learn: makes of doc_id the condition that says which labelled rows may be used."""
     marked = labels.select(labels["doc_id"].alias("__id"), labels[label_col].alias("__y")).where("__y is not null").where(learn(F.col("__id")))
-    picked = marked.orderBy(F.xxhash64("__id", F.lit(2)), "__id").limit(sample)
+    picked = marked.distinct().orderBy(F.xxhash64("__id", F.lit(2)), "__id", "__y").limit(sample)
     rows = docs.select("doc_id", "text", "lang").join(F.broadcast(picked), F.col("doc_id") == F.col("__id"))
-    got = rows.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("t"), "lang", F.col("__y").cast("int").alias("y")).toArrow()
-    got = got.sort_by("doc_id")
+    rows = rows.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("t"), "lang", F.col("__y").cast("int").alias("y"))
+    # the bounds again, as documents may repeat: rows up to the last place at which rows and bytes are still few enough
+    rows = rows.withColumn("place", F.struct(F.xxhash64("doc_id", F.lit(2)), "doc_id", "y", F.xxhash64("t")))
+    sizes = rows.select("place", F.length("t").cast("long").alias("size")).orderBy("place").limit(sample)
+    so_far = F.sum("size").over(Window.orderBy("place").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    last = sizes.withColumn("so_far", so_far).where(F.col("so_far") <= most_bytes).agg(F.max("place").alias("last"))
+    got = rows.join(F.broadcast(last), F.col("place") <= F.col("last")).select("doc_id", "t", "lang", "y").toArrow()
+    got = got.sort_by([("doc_id", "ascending"), ("y", "ascending"), ("t", "ascending")])
     texts, y = got.column("t").to_pylist(), np.array(got.column("y").to_pylist(), np.float32)
     if not 0 < (y > 0).sum() < len(y):
         return None

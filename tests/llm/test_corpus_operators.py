@@ -356,6 +356,65 @@ def test_toxicity(spark):
     assert toxicity.scored(df.limit(0), model).count() == 0
 
 
+def naive_forward(m, ids, bounds):
+    """Outputs by one loop for each text, filter, window and word."""
+    out = []
+    for a, b in zip(bounds, bounds[1:]):
+        words = [sum(m.table[h].astype(np.float64) for h in row) for row in ids[a:b]]
+        z, c = float(m.shift[0]), 0
+        for w in m.filters:
+            for f in range(w.shape[2]):
+                r = [sum(words[i + j] @ w[j, :, f].astype(np.float64) for j in range(len(w))) + m.bias[c] for i in range(len(words) - len(w) + 1)]
+                z += m.read[c] * max([0.0, *r])
+                c += 1
+        out.append(z)
+    return np.array(out)
+
+
+def test_convolution_and_gradients_against_loops():
+    rng = np.random.default_rng(5)
+    m = toxicity.Model(
+        rng.normal(0, 0.5, (50, 3)), [rng.normal(0, 0.7, (w, 3, 2)) for w in (1, 2, 3)], rng.normal(0, 0.3, 6), rng.normal(0, 1, 6), np.array([0.2]),
+    )
+    sizes = [0, 1, 2, 3, 7, 5, 0, 2]
+    ids, bounds, y = rng.integers(0, 50, (sum(sizes), 3)), np.cumsum([0, *sizes]), np.array([0, 1, 1, 0, 1, 0, 1, 0])
+    m.training = True
+    pooled = m.pooled(ids, bounds)[0]
+    assert np.allclose(pooled @ m.read + m.shift[0], naive_forward(m, ids, bounds), atol=1e-4)
+    params = [m.table, *m.filters, m.bias, m.read, m.shift]
+
+    def loss():
+        z = naive_forward(m, ids, bounds)
+        return np.mean(np.logaddexp(0, z) - y * z) + toxicity.DECAY / 2 * sum((p * p).sum() for p in (*m.filters, m.read))
+
+    for p, g in zip(params, toxicity.gradients(m, ids, bounds, y)):
+        for at in rng.permutation(p.size)[:25]:
+            i = np.unravel_index(at, p.shape)
+            was, ends = p[i], []
+            for step in (1e-5, -1e-5):
+                p[i] = was + step
+                ends.append(loss())
+            p[i] = was
+            assert abs((ends[0] - ends[1]) / 2e-5 - g[i]) < 1e-4 * max(1, abs(g[i]))
+
+
+def test_training_rows_are_bounded_and_in_order(spark):
+    rng = random.Random(2)
+    rows = [(i % 150, t) for i, t in enumerate(prose(rng, 300, 60))]
+    lab = spark.createDataFrame([(i % 150, 1, i % 2) for i in range(600)] + [(3, 1, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    seen = []
+    real = toxicity.fit
+    toxicity.fit = lambda texts, y, **more: seen.append((list(texts), y.tolist())) or real(texts[:40], y[:40], epochs=1)
+    try:
+        for parts in (1, 7):
+            toxicity.train(docs(spark, rows).repartition(parts), lab.repartition(parts), lambda i: F.lit(True))
+        toxicity.train(docs(spark, rows), lab, lambda i: F.lit(True), most_bytes=4000)
+        toxicity.train(docs(spark, rows), lab, lambda i: F.lit(True), sample=50)
+    finally:
+        toxicity.fit = real
+    assert seen[0] == seen[1] and len(seen[0][0]) > 200 and sum(map(len, seen[2][0])) <= 4000 < sum(map(len, seen[0][0])) and len(seen[3][0]) <= 50
+
+
 def test_hashed_words_do_not_depend_on_neighbours():
     alone = [toxicity.hashed([t])[0] for t in (b"Ab,cd", b"", b"xyz " * 50)]
     together, bounds = toxicity.hashed([b"Ab,cd", b"", b"xyz " * 50])

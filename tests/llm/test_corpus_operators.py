@@ -124,55 +124,69 @@ def brute_targets(sizes, weights=(3, 1, 2)):
     return target
 
 
-def uniform(doc_id, text, seed=9):
+def uniform(doc_id, text, source, seed=9):
     h = 42
     if doc_id is not None:
         h = xxhash.xxh64_intdigest(int(doc_id).to_bytes(8, "little", signed=True), h)
-    if text is not None:
-        h = xxhash.xxh64_intdigest(text.encode(), h)
+    for x in (text, source):
+        if x is not None:
+            h = xxhash.xxh64_intdigest(x.encode(), h)
     h = xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), h)
     return ((h >> 11) + 0.5) / (1 << 53)
 
 
+def n_words(text):
+    return len((text or "").encode().split())
+
+
+def brute_due(sizes, goal):
+    """Copies due by size, found by bisection of the common rate: 1 + digits / 8 times it, two at most."""
+    rate = lambda x, n: min(2.0, x * (1 + (max(n, 1).bit_length() - 1) / 8))
+    lo, hi = 0.0, 2.0
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if sum(n * rate(mid, n) for n in sizes) < goal else (lo, mid)
+    return {n: rate(hi, n) if sum(sizes) else 0.0 for n in sizes}
+
+
 def brute_mixture(rows):
-    """doc_id, text: copies, by sorting each source by Pareto rank."""
+    """doc_id, text, source, copies, by sorting each source by Pareto rank. Rows must differ."""
     sizes = defaultdict(int)
     for _, t, s in rows:
-        sizes[s] += len((t or "").encode().split())
+        sizes[s] += n_words(t)
     goal, out = brute_targets(sizes), []
     for s in sizes:
         mine = [(i, t) for i, t, x in rows if x == s]
-        due = goal[s] / sizes[s] if sizes[s] else 0
-        copies, p = math.floor(due), due - math.floor(due)
-        lack, before, cut, ranked = goal[s] - copies * sizes[s], 0, -1, defaultdict(int)
-        if p > 0:
-            for i, t in mine:
-                u = uniform(i, t)
-                q = u / (1 - u) * (1 - p) / p
-                ranked[math.floor(q / (1 + q) * 2.0**48)] += len((t or "").encode().split())
-            for r in sorted(ranked):
-                if before + ranked[r] / 2 <= lack:
-                    cut = r
-                before += ranked[r]
+        due = brute_due([n_words(t) for _, t in mine], goal[s])
+        due = {n: round(x) if abs(x - round(x)) < 1e-9 else x for n, x in due.items()}
+        lack = goal[s] - sum(math.floor(due[n_words(t)]) * n_words(t) for _, t in mine)
+        ranks, before, taken = [], 0, set()
         for i, t in mine:
-            u = uniform(i, t)
-            more = p > 0 and math.floor((q := u / (1 - u) * (1 - p) / p) / (1 + q) * 2.0**48) <= cut
-            out.append((i, t, s, copies + more))
+            u, p = uniform(i, t, s), due[n_words(t)] % 1
+            if p > 0:
+                ranks.append((u / (1 - u) * (1 - p) / p, i, t))
+        for _, i, t in sorted(ranks, key=lambda x: x[0]):
+            if before + n_words(t) / 2 <= lack:
+                taken.add((i, t))
+            before += n_words(t)
+        out += [(i, t, s, math.floor(due[n_words(t)]) + ((i, t) in taken)) for i, t in mine]
     return out, goal, sizes
 
 
 def test_mixture(spark):
     rng = random.Random(7)
-    rows = [(i, t, rng.choice(["a", "a", "a", "b", "c", "dé", "e", None])) for i, t in enumerate(prose(rng, 300, 60))]
-    rows += [(900, None, "a"), (901, "", "empty"), (902, "x y", "tiny"), (903, "x y", "tiny"), (903, "x y", "tiny"), (None, "n n n", None)]
-    got = mixing.mixture(docs(spark, rows).withColumns({"size": F.lit("x"), "target": F.lit("y")})).collect()
+    rows = [(i, t, rng.choice(["a", "a", "a", "b", "c", "dé", "e", None])) for i, t in enumerate([*prose(rng, 200, 60), *prose(rng, 100, 400)])]
+    rows += [(901, "", "empty"), (902, "x y", "tiny"), (903, "x y", "tiny"), (904, "x y z", "tiny"), (None, "n n n", None)]
+    got = mixing.mixture(docs(spark, rows).withColumns({"size": F.lit("x"), "target": F.lit("y"), "key": F.lit("z"), "at": F.lit("z")})).collect()
     want, goal, sizes = brute_mixture(rows)
-    assert Counter((r.doc_id, r.size, r.source, r.copies) for r in got) == Counter((i, len((t or "").encode().split()), s, c) for i, t, s, c in want)
-    taken = Counter()
+    assert Counter((r.doc_id, r.size, r.source, r.copies) for r in got) == Counter((i, n_words(t), s, c) for i, t, s, c in want)
+    taken, longest = Counter(), defaultdict(int)
     for r in got:
         assert r.source_size == sizes[r.source] and math.isclose(r.target, goal[r.source], rel_tol=1e-9) and r.taken <= 2 * r.size
         taken[r.source] += r.taken
-    assert all(abs(taken[s] - goal[s]) <= 60 for s in goal)
+        longest[r.source] = max(longest[r.source], r.size)
+    assert all(abs(taken[s] - goal[s]) <= longest[s] / 2 for s in goal)
+    assert len({round(r.due, 9) for r in got if r.source == "b"}) > 2  # probabilities differ within a source
     again = mixing.mixture(docs(spark, rows).repartition(7)).collect()
     assert Counter(map(tuple, got)) == Counter(map(tuple, again))
     mixed = Counter((r.doc_id, r.text, r.source) for r in mixing.mixed(docs(spark, rows)).collect())
@@ -183,6 +197,34 @@ def test_mixture(spark):
     assert mixing.mixture(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_equal_rows_come_near_the_target(spark, tmp_path):
+    """Equal rows and rows without an id are drawn one by one."""
+    rows = [(5, "a b c d e f", "x")] * 100 + [(None, None, "y")] * 40 + [(None, "g h i", "y")] * 100 + [(i, f"{i} k l", "z") for i in range(200)]
+    docs(spark, rows).repartition(3).write.parquet(f"{tmp_path}/d")
+    df = spark.read.parquet(f"{tmp_path}/d")
+    runs = [Counter(map(tuple, mixing.mixture(df).collect())) for _ in range(2)]
+    assert runs[0] == runs[1] and sum(runs[0].values()) == len(rows)
+    taken, goal = Counter(), {}
+    for r in mixing.mixture(df).collect():
+        taken[r.source] += r.taken
+        goal[r.source] = r.target
+    assert all(abs(taken[s] - goal[s]) <= 3 for s in goal), (taken, goal)
+    assert sum(n_words(r.text) for r in mixing.mixed(df).collect()) == sum(taken.values())
+
+
+def test_inclusion_follows_the_probabilities(spark):
+    """Over many seeds a document is taken about as often as it is due."""
+    rng = random.Random(17)
+    rows = [(i, "w " * rng.choice([1, 3, 20, 90]), "ab"[i % 2]) for i in range(600)]
+    runs = [mixing.mixture(docs(spark, rows).coalesce(1), seed=k).collect() for k in range(3)]
+    by = defaultdict(lambda: [0, 0.0])
+    for run in runs:
+        for r in run:
+            by[r.source, r.size][0] += r.copies
+            by[r.source, r.size][1] += r.due
+    assert all(abs(n - due) < 4 * math.sqrt(max(due, 1)) for n, due in by.values())
+
+
 # --- op7 --------------------------------------------------------------------------------------------------------
 
 

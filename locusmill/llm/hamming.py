@@ -8,8 +8,9 @@ that distance.
 Equal codes are one entry that holds its k + 1 smallest ids, more can never be returned. Entries are dealt into blocks
 of bounded size, each with its own index, and queries into batches; every batch meets every block.
 
-Defined results: rows without a code (null or empty vector) neither ask nor are found. A row is not its own
-neighbour; ties go to the smaller id; with k or fewer other rows all are returned. Repeated ids: one row each is kept.
+Defined results: rows without a code (null or empty vector) neither ask nor are found. A vector of fewer components than
+bits has zeros for the rest; one of more is an error. A row is not its own neighbour; ties go to the smaller id; with k
+or fewer other rows all are returned. Of rows with the same id that with the smallest code counts.
 """
 
 from __future__ import annotations
@@ -27,13 +28,15 @@ BITS, SEGMENTS, K, EVERY = 64, 4, 10, 50
 BLOCK, BATCH = 65_536, 512
 
 
-def codes(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """vec_id, code: bit i is set if component i is above zero; components beyond BITS are not used."""
+def codes(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", bits: int = BITS) -> DataFrame:
+    """vec_id, code: bit i is set if component i is above zero."""
 
     def signs(b: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for v in b.column(1).to_pylist():
-            out.append(sum(1 << i for i, x in enumerate(v[:BITS]) if x is not None and x > 0))
+            if len(v) > bits:
+                raise ValueError(f"a vector has {len(v)} components, more than {bits}")
+            out.append(sum(1 << i for i, x in enumerate(v) if x is not None and x > 0))
         return pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(out, np.uint64).view(np.int64))], ["vec_id", "code"])
 
     picked = rows.select(rows[id_col].cast("long").alias("vec_id"), rows[vector_col].alias("v")).where("vec_id is not null and size(v) > 0")
@@ -89,7 +92,8 @@ class Index:
 
 def top_k(rows: DataFrame, asks: Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK, batch: int = BATCH) -> DataFrame:
     """vec_id, rank, neighbor_id, distance: the k nearest other rows of each row for which asks holds (a condition on vec_id)."""
-    coded = cut(codes(rows, id_col, vector_col).distinct())
+    least = F.min(F.col("code").bitwiseXOR(F.lit(-(1 << 63)))).bitwiseXOR(F.lit(-(1 << 63)))  # as unsigned
+    coded = cut(codes(rows, id_col, vector_col).groupBy("vec_id").agg(least.alias("code")))
     first = Window.partitionBy("code").orderBy("vec_id")
     entries = coded.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
     entries = cut(entries.groupBy("code").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
@@ -116,7 +120,7 @@ def top_k(rows: DataFrame, asks: Column, k: int = K, id_col: str = "vec_id", vec
     found = have.groupBy("block", "batch").cogroup(ask.groupBy("block", "batch")).applyInArrow(search, "code long, distance long, neighbor_id long")
     best = found.withColumn("n", F.row_number().over(Window.partitionBy("code").orderBy("distance", "neighbor_id"))).where(F.col("n") <= k + 1)
     mine = wanted.join(best.drop("n"), "code").where("vec_id <> neighbor_id")
-    rank = F.row_number().over(Window.partitionBy("vec_id", "code").orderBy("distance", "neighbor_id")).cast("long")
+    rank = F.row_number().over(Window.partitionBy("vec_id").orderBy("distance", "neighbor_id")).cast("long")
     return mine.withColumn("rank", rank).where(F.col("rank") <= k).select("vec_id", "rank", "neighbor_id", "distance")
 
 
@@ -125,11 +129,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL = f"""
-WITH pairs AS (
-  SELECT q.vec_id, e.vec_id AS neighbor_id,
-    list_sum(list_transform(range(1, {BITS + 1}), lambda i: CASE WHEN coalesce(q.embedding[i] > 0, false) <> coalesce(e.embedding[i] > 0, false) THEN 1 ELSE 0 END))::BIGINT AS distance
-  FROM embeddings q JOIN embeddings e ON q.vec_id <> e.vec_id
-  WHERE q.vec_id % {EVERY} = 0 AND len(q.embedding) > 0 AND len(e.embedding) > 0
+WITH bits AS (
+  SELECT vec_id, array_to_string(list_transform(range({BITS}, 0, -1), lambda i: CASE WHEN coalesce(embedding[i] > 0, false) THEN '1' ELSE '0' END), '') AS b
+  FROM embeddings WHERE len(embedding) > 0 AND vec_id IS NOT NULL
+), codes AS (
+  SELECT vec_id, min(b)::BIT AS b FROM bits GROUP BY vec_id
+), pairs AS (
+  SELECT q.vec_id, e.vec_id AS neighbor_id, bit_count(xor(q.b, e.b))::BIGINT AS distance FROM codes q JOIN codes e ON q.vec_id <> e.vec_id WHERE q.vec_id % {EVERY} = 0
 ), ranked AS (
   SELECT vec_id, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) AS rank, neighbor_id, distance FROM pairs
 )

@@ -10,6 +10,7 @@ import re
 import urllib.parse
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -368,6 +369,15 @@ def test_top_k(spark):
     for block, batch in ((65_536, 512), (60, 3)):
         got = {tuple(r) for r in hamming.top_k(df, F.col("vec_id") % 50 == 0, block=block, batch=batch).collect()}
         assert got == brute_top_k(codes, range(0, 400, 50), 10)
+    twice = df.where("vec_id < 60").unionByName(df.where("vec_id < 60")).unionByName(df.where("vec_id between 60 and 119").withColumn("vec_id", F.col("vec_id") - 60))
+    least = {i: min(codes[i], codes[i + 60]) for i in range(60)}
+    got = {tuple(r) for r in hamming.top_k(twice, F.col("vec_id") % 50 == 0).collect()}
+    assert got == brute_top_k(least, (0, 50), 10)
+    duck = duckdb.connect()
+    duck.register("embeddings", twice.select("vec_id", "embedding").toArrow())
+    assert {tuple(r) for r in duck.sql(hamming.SQL).fetchall()} == got
+    with pytest.raises(Exception, match="components"):
+        hamming.codes(spark.createDataFrame([(1, [0.5] * 65)], "vec_id long, embedding array<float>")).collect()
     few = hamming.top_k(df.where("vec_id < 4"), F.col("vec_id") >= 0, k=10).collect()
     assert len(few) == 12
     assert hamming.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0

@@ -304,7 +304,7 @@ def test_lm_base_and_counts(spark):
 
 
 def in_buckets(texts, train, buckets, hot=()):
-    """log10 probability of every pair of tokens, by the functions that the buckets run."""
+    """log10 probability of every pair of tokens, by the functions that buckets and places run; and the tables of each context, by sample."""
     hot = np.sort(np.array(list(hot), np.uint64))
     w, bounds = pitman_yor.tokens(texts)
     u = np.concatenate([[np.uint64(pitman_yor.END)], w[:-1]])
@@ -322,21 +322,29 @@ def in_buckets(texts, train, buckets, hot=()):
         six = np.array([p[1] for p in pairs], "<u8").view(np.uint8).reshape(-1, 8)[:, :6]
         n = Counter(keys)
         blobs[b] = [pitman_yor.pack(np.array(dishes, np.uint64), np.array([sum(p[0] == d for p in pairs) for d in dishes]), six, np.array([n[p] for p in pairs], np.uint32), doc[ks], np.packbits(train), len(texts))]
-    sent = defaultdict(list)
-    for b in blobs:
-        for to, frm, x in pitman_yor.asks(blobs[b], b, buckets, hot):
-            sent[to].append((frm, x))
-    back = defaultdict(dict)
-    for to, rows in sent.items():
-        for b, x in pitman_yor.answers(sorted(rows), buckets):
-            back[b][to] = pitman_yor.unpack(x)
-    out = {}
+
+    def to_places(rows):
+        out = defaultdict(list)
+        for r in rows:
+            out[r[0]].append(r)
+        return out
+
+    first = sent = to_places(r for b in blobs for r in pitman_yor.start(blobs[b], b, buckets, hot))
+    for _ in range(len(pitman_yor.ROUNDS) + 1):
+        back = to_places(r for x in sent.values() for r in pitman_yor.answers(x, buckets))
+        sent = to_places(r for b in blobs for r in pitman_yor.advanced(sent[b] + back[b], b, buckets))
+    back = to_places(r for k, x in first.items() for r in pitman_yor.last_answers(x, sent[k], buckets))
+    out, tables = {}, {}
     for b in blobs:
-        bucket = pitman_yor.Bucket(blobs[b], b, buckets, hot).informed(back[b], buckets)
-        _, _, score, _ = pitman_yor.probabilities(bucket, back[b])
+        bucket = pitman_yor.Bucket(blobs[b], hot)
+        rows = back[b] + [x for x in sent[b] if x[2] == pitman_yor.STATE]
+        score = pitman_yor.probabilities(bucket, rows, buckets)[2]
+        got = {x[1]: pitman_yor.unpack(x[3])[0] for x in back[b]}
+        for k, some, _ in bucket.by_place(buckets):
+            tables |= {int(bucket.contexts[i]): got[k][j, 1] + got[k][j, 2:] for j, i in enumerate(some)}
         for i, s in enumerate(score):
             out[int(bucket.contexts[bucket.context[i]]), int(bucket.dishes[bucket.dish[i]])] = s
-    return out
+    return out, tables
 
 
 @pytest.mark.parametrize("buckets, hot_words", [(1, 0), (3, 0), (4, 3)])
@@ -347,27 +355,139 @@ def test_lm_probabilities_sum_to_one(buckets, hot_words):
     probe = [f"{a} {b}".encode() for a in ("w3", "w24", "new") for b in [*vocab, "unknown"]] + [a.encode() for a in ("w3", "w24", "new")]
     train = np.array([True] * len(texts) + [False] * len(probe))
     hot = pitman_yor.tokens([" ".join(vocab[-hot_words:]).encode()])[0][:-1] if hot_words else ()
-    got = in_buckets(texts + probe, train, buckets, hot)
+    got = in_buckets(texts + probe, train, buckets, hot)[0]
     code = lambda x: int(pitman_yor.tokens([x.encode()])[0][0])
     for a in ("w3", "w24", "new"):
         dishes = [code(b) for b in [*vocab, "unknown"]] + [pitman_yor.END]
         assert math.isclose(sum(10 ** got[code(a) >> 16, d] for d in dishes), 1, rel_tol=1e-9)
 
 
-def test_seating_follows_the_restaurant():
-    """Mean number of tables of two and three customers, by the exact distribution."""
-    rng = np.random.default_rng(0)
-    a, d, n = 0.4, 0.75, 40_000
-    t2 = pitman_yor.reseat(np.full(n, 2.0), np.full(n, a), d, rng)[0]
-    assert abs((t2 == 2).mean() - a / (1 - d + a)) < 0.01
-    w = {1: (1 - d) * (2 - d), 2: 3 * a * (1 - d), 3: a * a}  # seatings of three customers by number of tables
-    now, old = pitman_yor.reseat(np.full(n, 3.0), np.full(n, a), d, rng)
-    for _ in range(25):
-        new, weight = pitman_yor.reseat(np.full(n, 3.0), np.full(n, a), d, rng)
-        take = np.log(rng.random(n)) < weight - old
-        now, old = np.where(take, new, now), np.where(take, weight, old)
-    for t in w:
-        assert abs((now == t).mean() - w[t] / sum(w.values())) < 0.012
+def customer_gibbs(counts, sweeps, burn, seed):
+    """Tables by context and mean log10 probability of a training token, by a sampler that moves one customer at a time.
+
+    counts: context: {dish: customers}. Every customer has a table; a table is a customer of the parent, which has tables of its own.
+    """
+    rng = random.Random(seed)
+    d, theta, d0, theta0 = pitman_yor.D, pitman_yor.THETA, pitman_yor.ROOT_D, pitman_yor.ROOT_THETA
+    v = len({w for x in counts.values() for w in x})
+    rooms = {u: {w: [] for w in x} for u, x in counts.items()}  # customers at each table
+    above, seen, score, n_tokens = defaultdict(list), [], [], sum(sum(x.values()) for x in counts.values())
+
+    def chosen(weights):
+        x = rng.random() * sum(weights)
+        for i, y in enumerate(weights):
+            x -= y
+            if x < 0:
+                return i
+        return len(weights) - 1
+
+    def parent(w):
+        n0, t0 = sum(map(sum, above.values())), sum(map(len, above.values()))
+        return (sum(above[w]) - d0 * len(above[w]) + (theta0 + d0 * t0) / (v + 1)) / (theta0 + n0)
+
+    def up(w):
+        t0 = sum(map(len, above.values()))
+        k = chosen([n - d0 for n in above[w]] + [(theta0 + d0 * t0) / (v + 1)])
+        if k == len(above[w]):
+            above[w].append(0)
+        above[w][k] += 1
+
+    def down(w):
+        k = chosen(above[w])
+        above[w][k] -= 1
+        if not above[w][k]:
+            del above[w][k]
+
+    def sit(u, w):
+        room = rooms[u][w]
+        k = chosen([n - d for n in room] + [(theta + d * sum(map(len, rooms[u].values()))) * parent(w)])
+        if k == len(room):
+            room.append(0)
+            up(w)
+        room[k] += 1
+
+    for u, x in counts.items():
+        for w, c in x.items():
+            for _ in range(c):
+                sit(u, w)
+    for i in range(sweeps):
+        for u, x in counts.items():
+            for w, c in x.items():
+                for _ in range(c):
+                    room = rooms[u][w]
+                    k = chosen(room)
+                    room[k] -= 1
+                    if not room[k]:
+                        del room[k]
+                        down(w)
+                    sit(u, w)
+        if i >= burn:
+            seen.append({u: sum(map(len, x.values())) for u, x in rooms.items()})
+            total = 0.0
+            for u, x in counts.items():
+                size, t = sum(x.values()), seen[-1][u]
+                total += sum(c * math.log10((c - d * len(rooms[u][w]) + (theta + d * t) * parent(w)) / (theta + size)) for w, c in x.items())
+            score.append(total / n_tokens)
+    return {u: sum(x[u] for x in seen) / len(seen) for u in counts}, sum(score) / len(score)
+
+
+def test_seatings_agree_with_a_sampler_of_single_customers():
+    """Tables and scores, for 1, 3 and 20 buckets alike, and with dishes spread over the buckets."""
+    rng = random.Random(31)
+    vocab = [f"w{i}" for i in range(30)]
+    texts = [" ".join(rng.choices(vocab, [1 / (i + 1) for i in range(30)], k=25)).encode() for _ in range(50)]
+    w, _ = pitman_yor.tokens(texts)
+    u = np.concatenate([[np.uint64(pitman_yor.END)], w[:-1]]) >> np.uint64(16)
+    counts = defaultdict(Counter)
+    for a, b in zip(u.tolist(), w.tolist()):
+        counts[a][b] += 1
+    tables, score = customer_gibbs(counts, 30, 10, 1)
+    mean = sum(tables.values())
+    hot = pitman_yor.tokens([" ".join(vocab[:4]).encode()])[0][:-1]
+    for buckets, some in ((1, ()), (3, ()), (20, ()), (20, hot)):
+        got, sat = in_buckets(texts, np.ones(len(texts), bool), buckets, some)
+        ours = sum(got[a, b] * c for a, x in counts.items() for b, c in x.items()) / len(w)
+        total = sum(x.mean() for x in sat.values())
+        assert abs(total - mean) < 0.03 * mean and abs(ours - score) < 0.006
+
+
+def exact_tables(c, T, n, parent, scale):
+    """The distribution of the tables of c customers, from the recursion of the ways to seat them."""
+    s = {1: 1.0}
+    for i in range(1, c):
+        s = {t: s.get(t, 0.0) * (i - pitman_yor.D * t) + s.get(t - 1, 0.0) for t in range(1, i + 2)}
+    p, a = {}, 1.0
+    for t in range(1, c + 1):
+        a *= (pitman_yor.THETA + pitman_yor.D * (T + t - 1)) * float(parent.weight(np.array([n + t - 1.0]))[0]) / scale
+        p[t] = s[t] * a
+    return {t: x / sum(p.values()) for t, x in p.items()}
+
+
+def test_draws_follow_the_exact_distribution():
+    rng, n = np.random.default_rng(0), 20_000
+    for c, T, m, b, scale in ((2, 3, 5, 0.5, 50.0), (7, 30, 2, 0.7, 60.0), (40, 400, 60, 0.5, 900.0)):
+        parent = pitman_yor.Root(b)
+        want = exact_tables(c, T, m, parent, scale)
+        args = np.full(n, T), np.full(n, float(m)), parent, scale, rng
+        one = pitman_yor.drawn(np.full(n, c), *args)
+        many = np.ones(n, np.int64)
+        for _ in range(12 if c > 7 else 0):
+            many = pitman_yor.wandered(np.full(n, c), many, *args)
+        for t, x in want.items():
+            assert abs((one == t).mean() - x) < 0.012
+            assert c <= 7 or abs((many == t).mean() - x) < 0.02
+
+
+def test_parent_sums_its_tables_out():
+    """Against all seatings of up to seven customers."""
+    b, d = 0.6, pitman_yor.ROOT_D
+    parent, s = pitman_yor.Root(b), {0: 1.0}
+    for n in range(7):
+        mean = sum(t * x for t, x in s.items()) / sum(s.values())
+        assert math.isclose(float(parent.tables(np.array([n]))[0]), mean, rel_tol=1e-9, abs_tol=1e-12)
+        s = {t: s.get(t, 0.0) * (n - d * t) + s.get(t - 1, 0.0) * b for t in range(0, n + 2)}
+    far = parent.log_weights(np.array([3000.0]), np.array([3000]))[0]
+    assert math.isclose(far, float(np.log(parent.weight(np.arange(3000.0, 6000.0))).sum()), rel_tol=1e-4)
 
 
 # --- op2 --------------------------------------------------------------------------------------------------------

@@ -16,14 +16,14 @@ def block_id(n: Column, start: int, interval: int) -> Column:
 def ranked(rows: DataFrame, key: str, number: str = "n") -> DataFrame:
     """rows with their rank by key (from 0). Sorted by range; each partition adds the sizes of those before it.
 
-    No task sees more than its own range. Keys must be distinct.
+    No task sees more than its own range. Keys must be distinct. rows are read twice, once to choose the ranges.
     """
-    ordered = cut(rows.repartitionByRange(key).withColumn("__part", F.spark_partition_id()))
+    ordered = rows.repartitionByRange(key).sortWithinPartitions(key).withColumn("__id", F.monotonically_increasing_id())
+    ordered = cut(ordered.withColumn("__part", F.shiftright("__id", 33)).withColumn("__local", F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))).drop("__id"))
     sizes = ordered.groupBy("__part").agg(F.count("*").alias("__size"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
-    local = F.row_number().over(Window.partitionBy("__part").orderBy(key))
-    return ordered.withColumn("__local", local).join(offsets, "__part").withColumn(number, F.col("__before") + F.col("__local") - 1).drop("__part", "__local", "__before")
+    return ordered.join(offsets, "__part").withColumn(number, F.col("__before") + F.col("__local")).drop("__part", "__local", "__before")
 
 
 def get_or_create(wanted: DataFrame, known: DataFrame, key: str, start: int, interval: int, sources: tuple[str, ...] = ("legacy", "current")) -> DataFrame:
@@ -33,9 +33,9 @@ def get_or_create(wanted: DataFrame, known: DataFrame, key: str, start: int, int
     """
     order = F.element_at(F.create_map(*(F.lit(x) for i, s in enumerate(sources) for x in (s, i))), F.col("source"))
     have = known.where(F.col("source").isin(list(sources))).groupBy(key).agg(F.min(F.struct(order.alias("o"), "accession"))["accession"].alias("accession"))
-    asked = wanted.select(key).distinct()
-    old = asked.join(have, key).select(key, "accession", F.lit(False).alias("is_new"))
-    new = ranked(asked.join(have, key, "left_anti"), key)
+    asked = cut(wanted.select(key).distinct().join(have, key, "left"))
+    old = asked.where("accession is not null").select(key, "accession", F.lit(False).alias("is_new"))
+    new = ranked(asked.where("accession is null").select(key), key)
     return old.unionByName(new.select(key, block_id(F.col("n"), start, interval).alias("accession"), F.lit(True).alias("is_new")))
 
 

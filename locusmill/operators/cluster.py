@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import expr as E
 from .accession import block_id, ranked
-from .graph import bipartite
+from .graph import bipartite, cut
 
 # Reasons written to the event logs, read back by the release
 REASON_CLUSTERED = "Clustering submitted variant %d with rs%d"
@@ -146,7 +146,7 @@ def split(sve: DataFrame, start: int, interval: int) -> tuple[DataFrame, DataFra
     The keeper stays; every other locus of an RS gets an id of its own, unless its hash has got one already, which is
     what makes a second run change nothing.
     """
-    losers = split_ranks(sve).where("not keeps").select("seq", "rs", "rs_hash")
+    losers = cut(split_ranks(sve).where("not keeps").select("seq", "rs", "rs_hash"))
     fresh = ranked(losers.select("seq", "rs_hash").distinct(), "rs_hash").select("seq", "rs_hash", block_id(F.col("n"), start, interval).alias("new_rs"))
     moves = losers.join(fresh, ["seq", "rs_hash"])
     rows = sve.join(moves, ["seq", "rs", "rs_hash"], "left").withColumn("rs", F.coalesce("new_rs", "rs")).select(*sve.columns)
@@ -159,7 +159,7 @@ def split(sve: DataFrame, start: int, interval: int) -> tuple[DataFrame, DataFra
 
 def split_duplicate_ss(sve: DataFrame, start: int, interval: int) -> DataFrame:
     """Id, event, accession, split_into, ss_hash: all but the keeper of a submitted id get new ids."""
-    losers = duplicate_ss_ranks(sve).where("not keeps").select("seq", "accession", "ss_hash")
+    losers = cut(duplicate_ss_ranks(sve).where("not keeps").select("seq", "accession", "ss_hash"))
     fresh = ranked(losers.select("ss_hash").distinct(), "ss_hash").select("ss_hash", block_id(F.col("n"), start, interval).alias("split_into"))
     rows = losers.join(fresh, "ss_hash")
     return rows.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,10 +11,13 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset (tests) a local one."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, one of this machine if all runs on it, else an error."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="locusmill-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="locusmill-"))
     return sc.getCheckpointDir()
 
 
@@ -33,7 +37,7 @@ def drop_cut(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def components(edges: DataFrame, keys: list[str], a: str, b: str, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
     """Keys, node, label: per key, the smallest node that edges (a, b) reach. Nodes are of one type.
 
     Large-star and small-star rounds: the number of rounds follows the logarithm of a chain's length, not its length.
@@ -41,7 +45,7 @@ def components(edges: DataFrame, keys: list[str], a: str, b: str, most_rounds: i
     k = [F.col(x) for x in keys]
     given = cut(edges.select(*k, F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).distinct())
     loops, links, state = given.where("lo = hi"), given.where("lo < hi"), None
-    for _ in range(most_rounds):
+    while True:
         both = links.select(*k, F.col("hi").alias("u"), F.col("lo").alias("v")).union(links.select(*k, F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy(*k, "u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.where("v > u").join(least, [*keys, "u"]).select(*k, F.col("m").alias("lo"), F.col("v").alias("hi"))
@@ -55,8 +59,6 @@ def components(edges: DataFrame, keys: list[str], a: str, b: str, most_rounds: i
         if now == state:
             break
         state = now
-    else:
-        raise RuntimeError("components did not settle")
     found = links.select(*k, F.col("hi").alias("node"), F.col("lo").alias("label"))
     alone = loops.select(*k, F.col("lo").alias("node"), F.col("lo").alias("label")).unionByName(links.select(*k, F.col("lo").alias("node"), F.col("lo").alias("label")))
     return found.unionByName(alone.distinct().join(found, [*keys, "node"], "left_anti"))
@@ -70,19 +72,19 @@ def bipartite(rows: DataFrame, keys: list[str], node: str, group: str) -> DataFr
     return components(edges, keys, "__a", "__b")
 
 
-def walk(start: DataFrame, steps: DataFrame, most_rounds: int = 1000) -> DataFrame:
-    """Origin, at, hop: every accession met from an origin (hop 0: itself), each once, so that cycles end.
+def walk(start: DataFrame, steps: DataFrame) -> DataFrame:
+    """Origin, at, hop: every accession met from an origin (hop 0: itself), each once, by its shortest way; cycles end.
 
-    start: origin. steps: accession, merge_into.
+    start: origin. steps: accession, merge_into. Each round joins ways to ways, so rounds follow the logarithm of a
+    chain's length.
     """
-    front = cut(start.select("origin", F.col("origin").alias("at"), F.lit(0).alias("hop")).distinct())
-    met, hop = front, 0
-    moves = cut(steps.select("accession", "merge_into").where("merge_into is not null").distinct())
-    while hop < most_rounds:
-        hop += 1
-        new = front.join(moves, front["at"] == moves["accession"]).select("origin", F.col("merge_into").alias("at"), F.lit(hop).alias("hop")).distinct()
-        front = cut(new.join(met, ["origin", "at"], "left_anti"))
-        if front.isEmpty():
-            return met
-        met = met.unionByName(front)
-    raise RuntimeError("a merge chain is longer than allowed")
+    moves = steps.select(F.col("accession").alias("origin"), F.col("merge_into").alias("at"), F.lit(1).alias("hop")).where("at is not null and origin <> at")
+    ways, n = cut(moves.distinct()), -1
+    while n != (n := ways.count()):
+        on = ways.select(F.col("origin").alias("at"), F.col("at").alias("to"), F.col("hop").alias("more"))
+        longer = ways.join(on, "at").select("origin", F.col("to").alias("at"), (F.col("hop") + F.col("more")).alias("hop")).where("origin <> at")
+        more = cut(ways.unionByName(longer).groupBy("origin", "at").agg(F.min("hop").alias("hop")))
+        drop_cut(ways)
+        ways = more
+    origins = start.select("origin").distinct()
+    return origins.select("origin", F.col("origin").alias("at"), F.lit(0).alias("hop")).unionByName(ways.join(origins, "origin", "left_semi").select("origin", "at", "hop"))

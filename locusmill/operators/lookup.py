@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -55,9 +55,9 @@ def newest(rows: DataFrame, key: str = "accession") -> DataFrame:
     return rows.withColumn("__n", n).where("__n = 1").drop("__n")
 
 
-def of_version(rows: DataFrame, accession: int, version: int) -> DataFrame:
-    """R6."""
-    return rows.where((F.col("accession") == accession) & (F.col("version") == version))
+def of_version(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """R6. asked: accession, version."""
+    return rows.join(asked.select("accession", "version").distinct(), ["accession", "version"], "left_semi")
 
 
 def patched(rows: DataFrame, change: DataFrame) -> DataFrame:
@@ -68,9 +68,9 @@ def patched(rows: DataFrame, change: DataFrame) -> DataFrame:
     return rows.unionByName(new.select(*rows.columns))
 
 
-def merge_allowed(origin: int, target: int, current_from: int) -> bool:
+def merge_allowed(origin: str, target: str, current_from: int) -> Column:
     """An id merges within its own source only."""
-    return (origin >= current_from) == (target >= current_from)
+    return E.source_of(origin, current_from) == E.source_of(target, current_from)
 
 
 def by_fields(sve: DataFrame, asked: DataFrame) -> DataFrame:

@@ -208,6 +208,6 @@ def assembly_name(rows: DataFrame, names: DataFrame, accession: str = "asm") ->
     return rows.join(pick.withColumnRenamed("accession", accession), accession, "left")
 
 
-def report_path(folder: str, assembly: str, category: str, source: str = "current", text: bool = False) -> str:
-    """Where a report goes: category is current_ids, merged_ids, deprecated_ids, merged_deprecated_ids or multimap_ids."""
-    return f"{folder.rstrip('/')}/{'' if source == 'current' else source + '_'}{assembly}_{category}.{'txt' if text else 'vcf'}"
+def report_path(folder: str, assembly: str, category: str, source: str = "current") -> str:
+    """Where a report of a source goes. category: current, merged and multimap (VCF), deprecated and merged_deprecated (lists of ids, in no order)."""
+    return f"{folder.rstrip('/')}/{source}_{assembly}_{category}_ids.{'unsorted.txt' if category.endswith('deprecated') else 'vcf'}"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import expr as E
 from ..sources import files, scans
+from .graph import cut
 
 #: What makes two rows the same submission. When a row was created or remapped, and by which run, does not count.
 IDENTITY = ["accession", "ss_hash", "tax", "rs", "evidence", "asm_match", "alleles_match", "validated", "map_weight", "remapped_from", "back_prop_rs"]
@@ -84,13 +85,14 @@ def ingest(incoming: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame
     flags = {"evidence": True, "asm_match": True, "alleles_match": True, "validated": False}
     fill = {k: E.flag(k, v) for k, v in flags.items()}
     new, old = incoming.withColumns(fill), stored.withColumns(fill)
-    same = [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in IDENTITY]
-    skipped = new.alias("n").join(old.alias("o"), same, "left_semi")
-    fresh = new.alias("n").join(old.alias("o"), same, "left_anti").dropDuplicates(IDENTITY)
+    known = old.select(*(F.col(k).alias(f"__{k}") for k in IDENTITY)).distinct().withColumn("__known", F.lit(True))
+    marked = cut(new.join(known, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in IDENTITY], "left").select(*new.columns, "__known"))
+    skipped = marked.where("__known").drop("__known")
+    fresh = marked.where("__known is null").drop("__known").dropDuplicates(IDENTITY)
     touched = fresh.select("ss_hash").distinct(), fresh.select("accession").distinct()
     old = old.join(touched[0], "ss_hash", "left_semi").unionByName(old.join(touched[0], "ss_hash", "left_anti").join(touched[1], "accession", "left_semi"))
     rows = fresh.withColumn("is_stored", F.lit(False)).unionByName(old.withColumn("is_stored", F.lit(True)).select(*fresh.columns, "is_stored"))
-    by_hash = keepers(rows, ["seq", "ss_hash"])
+    by_hash = cut(keepers(rows, ["seq", "ss_hash"]))
     by_id = keepers(by_hash.where("keeps").drop("keeps"), ["seq", "accession"])
     lost = by_hash.where("not keeps").unionByName(by_id.where("not keeps")).drop("keeps")
     return by_id.where("keeps and not is_stored").drop("keeps", "is_stored"), lost, skipped

@@ -5,15 +5,17 @@ A query's name is followed by the ids of the operators that it stands for.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import schema as S
 from .functions import contigs as C
 from .functions import expr as E
 from .operators import accession, cluster, deprecate as dep, imports, lookup, qc, release, remap
+from .operators.graph import shared_dir
 from .plans import warehouse as W
 from .plans.warehouse import ASSEMBLY, CONTIGS_SQL, CURRENT_FROM, CVE_SQL, EVENTS_SQL, REMAPPED_FROM, SVE_SQL, TAX
 from .sources import files, scans, sinks
@@ -57,13 +59,21 @@ def text(x: str):
     return F.date_format(x, "yyyy-MM-dd HH:mm:ss").alias(x)
 
 
+def stored(lines: DataFrame, folder: str | None = None, **options: str) -> DataFrame:
+    """The lines of a column value, as a text file that is read again."""
+    spark = lines.sparkSession
+    path = folder or f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    lines.select("value").write.options(**options).text(path)
+    return spark.read.text(path)
+
+
 # --- identity ---------------------------------------------------------------------------------------------------
 
 
 @query("ss_hash_keys", f"WITH {SVE_SQL} SELECT accession, ss_hash, type FROM sve")
 @of("sve")
 def ss_hash_keys(sve):
-    """P1, P3, P6."""
+    """P1, P3."""
     return sve.select("accession", "ss_hash", "type")
 
 
@@ -420,7 +430,7 @@ def source_dates(sve):
     CASE WHEN ref <> '' THEN alt WHEN start = 1 THEN concat(alt, base) ELSE concat(base, alt) END AS alt FROM e""")
 @of("sve", "sequence")
 def remapping_export(sve, sequence):
-    """S16, S19, F3-F5, P11, C1."""
+    """S16, F3-F5, P11, C1."""
     return remap.export(sve, sequence, ASSEMBLY).select("accession", "ss_hash", "contig", "start", "ref", "alt")
 
 
@@ -600,7 +610,7 @@ def release_records(cve, sve):
 @query("contig_synonyms", f"WITH {CONTIGS_SQL} SELECT name, sequence_name, assigned_molecule, genbank, refseq, ucsc, identical FROM by_name")
 @of("contigs")
 def contig_synonyms(contigs):
-    """J8, A1, S18."""
+    """J8, A1."""
     return C.by_name(contigs).select("name", "sequence_name", "assigned_molecule", "genbank", "refseq", "ucsc", "identical")
 
 
@@ -649,7 +659,7 @@ def contig_correction(sve):
     CASE WHEN start = 1 THEN concat(alt, base) ELSE concat(base, alt) END AS new_alt FROM (SELECT *, substr('ACGTN', CAST(((CASE WHEN start = 1 THEN 1 ELSE start - 1 END) - 1) % 5 + 1 AS INT), 1) AS base FROM sve) WHERE ref = ''""")
 @of("sve", "sequence")
 def context_base(sve, sequence):
-    """P11, S19, C1."""
+    """P11, C1."""
     rows = files.with_context(sve.where("ref = ''").select("contig", "start", "ref", "alt"), sequence)
     v = E.anchored("start", "ref", "alt", "context", "context")
     return rows.select("start", "ref", "alt", v["start"].alias("new_start"), v["ref"].alias("new_ref"), v["alt"].alias("new_alt")).distinct()
@@ -675,7 +685,7 @@ def vcf_scan(lineitem):
     FROM v WHERE alt NOT IN ('.', 'GA') GROUP BY ALL""")
 @of("lineitem")
 def vcf_accessioned_scan(lineitem):
-    """S3, S13, P8."""
+    """S3, P8."""
     rows = remap.checked_report(files.vcf_accessioned(lineitem.selectExpr(f"{VCF_ROW} AS value")).withColumn("study", F.lit("s")))
     return rows.groupBy(F.col("accession").alias("ss"), "start", "ref", "alt").agg(F.count("*").alias("n"))
 
@@ -700,8 +710,8 @@ DBSNP = """concat('{"refsnp_id":"', cast(o_orderkey AS varchar(9)), '","create_d
     SELECT accession, 'NC_1' AS contig, start, type, '2000-09-01 12:30:00' AS created, upper(sha1(concat_ws('_', 'GCA_1', 'NC_1', CAST(start AS VARCHAR), type))) AS rs_hash FROM r""")
 @of("orders")
 def dbsnp_import(orders):
-    """S17, P18, F9."""
-    rows = files.dbsnp_json(orders.selectExpr(f"{DBSNP} AS value"), "GCF_1", "GCA_1", newer_than=152)
+    """Through a file that is compressed by bzip2."""
+    rows = files.dbsnp_json(stored(orders.selectExpr(f"{DBSNP} AS value"), compression="bzip2"), "GCF_1", "GCA_1", newer_than=152)
     return rows.select("accession", "contig", "start", "type", text("created"), "rs_hash")
 
 
@@ -736,7 +746,7 @@ def duplicate_lines(sve):
 @query("dup_ss_qc", f"WITH {SVE_SQL} SELECT accession, count(*) AS n FROM sve GROUP BY accession HAVING count(*) > 1")
 @of("sve")
 def dup_ss_qc(sve):
-    """A10, S13."""
+    """A10."""
     return qc.repeated(sve, ["accession"])
 
 
@@ -897,6 +907,162 @@ def with_inactive(cve, cvoe, loci):
     return lookup.by_hash_with_inactive(cve, cvoe, loci).select("accession", "rs_hash", "active")
 
 
+# --- files that are written and read again ----------------------------------------------------------------------
+
+
+@query("id_list_scan", f"WITH {SVE_SQL} SELECT accession, ss_hash FROM sve WHERE seq = '{ASSEMBLY}' AND accession IN (SELECT {ASKED_IDS} FROM orders)")
+@of("sve", "orders")
+def id_list_scan(sve, orders):
+    """S12, S14."""
+    lines = orders.selectExpr("concat(' ', CASE o_orderkey % 3 WHEN 0 THEN 'ss' WHEN 1 THEN 'rs' ELSE '' END, cast(o_orderkey * 10 + 1 AS string), ' a note\\n') AS value")
+    return scans.by_ids(sve, files.id_list(stored(lines)), ASSEMBLY).select("accession", "ss_hash")
+
+
+@query("vcf_ids", f"WITH {SVE_SQL} SELECT accession FROM sve WHERE seq = '{ASSEMBLY}'")
+@of("sve")
+def vcf_ids(sve):
+    """S13, K7."""
+    return files.ss_ids_of_vcf(stored(sinks.export_lines(sve.where(F.col("seq") == ASSEMBLY)).select(F.col("line").alias("value"))))
+
+
+@query("assembly_report_scan", f"WITH {CONTIGS_SQL} SELECT sequence_name, role, assigned_molecule, genbank, refseq, ucsc, identical FROM contigs0")
+@of("contigs")
+def assembly_report_scan(contigs):
+    """S18."""
+    same = F.when(F.col("identical"), "=").otherwise("<>")
+    line = F.concat_ws("\t", "sequence_name", "role", "assigned_molecule", F.lit("Chromosome"), "genbank", same, "refseq", F.lit("Primary"), F.lit("100"), "ucsc")
+    return files.assembly_report(stored(contigs.select(F.concat(F.lit("# a comment\n"), line, F.lit("\n")).alias("value"))))
+
+
+FASTA_SIZE, FASTA_FIRST = "(61 + s_suppkey % 90)", "(s_suppkey % 5)"
+
+
+@query("fasta_bases", """SELECT l_suppkey AS supplier, l_linenumber AS line, CASE WHEN l_linenumber * 25 <= 61 + l_suppkey % 90 THEN substr('ACGTN', CAST((l_suppkey % 5 + l_linenumber * 25 - 1) % 5 + 1 AS INT), 1) END AS base, count(*) AS n
+    FROM lineitem GROUP BY ALL""")
+@of("lineitem", "supplier")
+def fasta_bases(lineitem, supplier):
+    """A contig for each supplier, in lines of 60 bases."""
+    bases = f"substr(repeat('ACGTN', 40), cast({FASTA_FIRST} + 1 AS int), cast({FASTA_SIZE} AS int))"
+    lines = supplier.selectExpr(f"concat('>S', cast(s_suppkey AS string), ' a contig\\n', substr({bases}, 1, 60), '\\n', substr({bases}, 61)) AS value")
+    path = f"{shared_dir(supplier.sparkSession)}/{uuid.uuid4().hex}"
+    stored(lines, path)
+    sequence = files.fasta(files.fasta_lines(supplier.sparkSession, path), chunk=50)
+    rows = lineitem.select(F.col("l_suppkey").alias("supplier"), F.col("l_linenumber").alias("line"), F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("contig"))
+    return files.base_at(rows, sequence, F.col("line").cast("long") * 25, "base", chunk=50).groupBy("supplier", "line", "base").agg(F.count("*").alias("n"))
+
+
+@query("fasta_synonyms", f"""WITH {SVE_SQL}, {CONTIGS_SQL} SELECT s.contig, CASE WHEN identical AND genbank IS NOT NULL THEN genbank ELSE s.contig END AS fasta_contig, count(*) AS n
+    FROM (SELECT concat('chr', CAST((start - 1) % 25 AS VARCHAR)) AS contig FROM sve) s LEFT JOIN by_name b ON s.contig = b.name GROUP BY ALL""")
+@of("sve", "sequence", "contigs")
+def fasta_synonyms(sve, sequence, contigs):
+    """S20."""
+    rows = sve.select(F.concat(F.lit("chr"), ((F.col("start") - 1) % 25).cast("string")).alias("contig"))
+    return files.through_synonyms(rows, sequence, contigs).groupBy("contig", "fasta_contig").agg(F.count("*").alias("n"))
+
+
+HEAD = sinks.header_lines(sinks.RELEASE_INFO, ASSEMBLY, "Assembly 1", "https://example.org/1")
+HEAD_SQL = " UNION ALL ".join("SELECT '" + x.replace("'", "''") + "' AS value" for x in [*HEAD, "\t".join(sinks.VCF_FIELDS)])
+
+
+@query("report_file", f"""{SQL["release_report"].replace("SELECT contig, start, concat_ws", "SELECT concat_ws").replace(" AS line FROM v", " AS value FROM v")} UNION ALL {HEAD_SQL}
+    UNION ALL SELECT DISTINCT concat('##contig=<ID=', contig, '>') FROM act""")
+@of("cve", "sve", "sequence")
+def report_file(cve, sve, sequence):
+    """The whole release report, header and body, as a file under its name."""
+    spark = cve.sparkSession
+    body = release.report(release.active(cve, sve, ASSEMBLY, TAX), sequence)
+    names = body.select("contig").distinct().withColumn("contig_rank", F.row_number().over(Window.orderBy("contig")))
+    whole = sinks.assembled(sinks.header(body, sinks.RELEASE_INFO, ASSEMBLY, "Assembly 1", "https://example.org/1"), body.join(names, "contig"))
+    return stored(whole.select(F.col("line").alias("value")), release.report_path(f"{shared_dir(spark)}/{uuid.uuid4().hex}", ASSEMBLY, "current"))
+
+
+@query("assembly_names", """WITH names AS (SELECT concat('GCA_', CAST(n_regionkey AS VARCHAR)) AS asm, n_name AS name, n_nationkey % 4 = 1 AS curated FROM nation)
+    SELECT concat('GCA_', CAST(s_nationkey % 7 AS VARCHAR)) AS asm, (SELECT name FROM names n WHERE n.asm = concat('GCA_', CAST(s_nationkey % 7 AS VARCHAR)) ORDER BY NOT curated, name LIMIT 1) AS assembly_name, s_suppkey AS supplier FROM supplier""")
+@of("supplier", "nation")
+def assembly_names(supplier, nation):
+    """R12."""
+    names = nation.selectExpr("concat('GCA_', cast(n_regionkey AS string)) AS accession", "n_name AS name", "n_nationkey % 4 = 1 AS curated")
+    rows = supplier.selectExpr("concat('GCA_', cast(s_nationkey % 7 AS string)) AS asm", "s_suppkey AS supplier")
+    return release.assembly_name(rows, names).select("asm", "assembly_name", "supplier")
+
+
+@query("contig_list", f"WITH {CONTIGS_SQL} SELECT concat(ucsc, ',', sequence_name) AS line FROM contigs")
+@of("contigs")
+def contig_list(contigs):
+    """K6."""
+    return sinks.contig_lines(C.normalized(contigs).select(F.col("ucsc").alias("contig")), contigs)
+
+
+def run_columns(key: str, nation: str) -> list[str]:
+    """A remapping run as a projection that both engines read."""
+    version, accessioning = f"concat('v', cast({key}key % 7 AS varchar(9)))", f"concat('a', cast({nation} AS varchar(9)))"
+    return [f"{version} AS remapping_version", f"{accessioning} AS accessioning_version", "'GCA_0' AS source", "'GCA_1' AS target"]
+
+
+@query("remapping_runs", f"""WITH s AS (SELECT {', '.join(run_columns('s_supp', 's_nationkey'))} FROM supplier), n AS (SELECT {', '.join(run_columns('n_nation', 'n_nationkey'))} FROM nation)
+    SELECT DISTINCT upper(sha1(concat_ws('_', remapping_version, accessioning_version, source, target))) AS remapping_id, remapping_version, accessioning_version FROM (SELECT * FROM s EXCEPT SELECT * FROM n)""")
+@of("supplier", "nation")
+def remapping_runs(supplier, nation):
+    """Runs of suppliers are stored unless nations have stored them."""
+    key = E.remapping_id("remapping_version", "accessioning_version", "source", "target")
+    runs, have = supplier.selectExpr(*run_columns("s_supp", "s_nationkey")), nation.selectExpr(*run_columns("n_nation", "n_nationkey"))
+    return sinks.appendable(runs.withColumn("remapping_id", key), have.withColumn("remapping_id", key), "remapping_id").select("remapping_id", "remapping_version", "accessioning_version")
+
+
+@query("alleles_upper", "SELECT upper(concat(lower(l_returnflag), 'n', l_linestatus)) AS allele, count(*) AS n FROM lineitem GROUP BY 1")
+@of("lineitem")
+def alleles_upper(lineitem):
+    """P4."""
+    return lineitem.select(E.alleles_upper(F.concat(F.lower("l_returnflag"), F.lit("n"), "l_linestatus")).alias("allele")).groupBy("allele").agg(F.count("*").alias("n"))
+
+
+@query("submitted_from_vcf", f"""WITH v AS (SELECT *, unnest(string_split(CASE l_linenumber WHEN 1 THEN 'G' WHEN 2 THEN 'GA' WHEN 3 THEN 'T,GATC' WHEN 4 THEN '.' ELSE 'CC' END, ',')) AS alt FROM lineitem)
+    SELECT concat('chr', CAST(l_partkey % 25 AS VARCHAR)) AS contig, CAST(l_partkey + 1 AS BIGINT) AS start, 'GA' AS ref, alt, upper(sha1(concat_ws('_', '{ASSEMBLY}', 'PRJ', concat('chr', CAST(l_partkey % 25 AS VARCHAR)),
+    CAST(l_partkey + 1 AS VARCHAR), 'GA', alt))) AS ss_hash, {TAX} AS tax, true AS evidence, false AS validated, CAST(NULL AS BIGINT) AS rs FROM v WHERE alt NOT IN ('.', 'GA')""")
+@of("lineitem")
+def submitted_from_vcf(lineitem):
+    """Through a file."""
+    rows = remap.submitted(files.vcf(stored(lineitem.selectExpr(f"{VCF_ROW} AS value"))), ASSEMBLY, TAX, "PRJ")
+    return rows.select("contig", "start", "ref", "alt", "ss_hash", "tax", "evidence", "validated", "rs")
+
+
+@query("version_of", f"WITH {SVE_SQL} SELECT accession, version, ss_hash FROM sve WHERE accession IN (SELECT {ASKED_IDS} FROM orders) AND version = 2")
+@of("sve", "orders")
+def version_of(sve, orders):
+    """The second version of the first line of every order."""
+    return lookup.of_version(sve, orders.selectExpr(f"{ASKED_IDS} AS accession", "2 AS version")).select("accession", "version", "ss_hash")
+
+
+@query("patched_versions", f"""WITH {SVE_SQL}, last AS (SELECT DISTINCT ON (accession) accession, version, ss_hash FROM sve ORDER BY accession, version DESC, ss_hash DESC)
+    SELECT accession, version, ss_hash, study FROM sve UNION ALL SELECT accession, version + 1, ss_hash, 'PATCHED' FROM last""")
+@of("sve")
+def patched_versions(sve):
+    """Every id gets a version with another study."""
+    rows = sve.select("accession", "version", "ss_hash", "study")
+    return lookup.patched(rows, sve.select("accession", F.lit("PATCHED").alias("study")).distinct()).select("accession", "version", "ss_hash", "study")
+
+
+@query("merge_routing", f"WITH {EVENTS_SQL} SELECT DISTINCT accession, merge_into, (accession >= 3000000400) = (merge_into >= 3000000400) AS allowed FROM cvoe WHERE event = 'MERGED'")
+@of("cvoe")
+def merge_routing(cvoe):
+    """R6."""
+    return cvoe.where("event = 'MERGED'").select("accession", "merge_into", lookup.merge_allowed("accession", "merge_into", 3_000_000_400).alias("allowed")).distinct()
+
+
+@query("inactive_rows", f"WITH {EVENTS_SQL} SELECT rs_hash, accession, asm, contig, start, type, validated, map_weight FROM cvoe")
+@of("cvoe")
+def inactive_rows(cvoe):
+    """R14."""
+    return sinks.flattened(cvoe, "inactive").select("rs_hash", "accession", "asm", "contig", "start", "type", "validated", "map_weight")
+
+
+@query("insert_conflicts", f"WITH {CVE_SQL} SELECT DISTINCT rs_hash FROM sve WHERE rs_hash IN (SELECT rs_hash FROM cve)")
+@of("sve", "cve")
+def insert_conflicts(sve, cve):
+    """R15, K10."""
+    return sinks.conflicts(sve, cve, "rs_hash")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

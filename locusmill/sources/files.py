@@ -143,16 +143,21 @@ CHUNK = 1000
 
 
 def fasta_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, block, line_no, value: lines in order within the blocks in which Spark reads a file, and blocks by their start."""
+    """file, block, line_no, value: lines in order within the blocks in which Spark reads a file, and blocks by their start.
+
+    A compressed file is an error, by its name or by its first bytes: it cannot be read in blocks.
+    """
     lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    return lines.select(F.col("file_path").alias("file"), F.col("file_block_start").alias("block"), F.monotonically_increasing_id().alias("line_no"), F.trim("value").alias("value"))
+    packed = F.col("file_path").rlike(r"\.(gz|bz2|zst|xz)$") | F.startswith(F.col("value").cast("binary"), F.lit(b"\x1f\xef\xbf\xbd")) | F.startswith(F.col("value").cast("binary"), F.lit(b"\x1f\x8b"))
+    value = F.when(packed, F.raise_error(F.concat(F.lit("FASTA must not be compressed: "), "file_path"))).otherwise(F.trim("value"))
+    return lines.select(F.col("file_path").alias("file"), F.col("file_block_start").alias("block"), F.monotonically_increasing_id().alias("line_no"), value.alias("value"))
 
 
 def fasta(lines: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Contig, chunk_no, bases: a FASTA text cut into chunks. lines: as of fasta_lines().
 
     A line's contig and place are running values within its block; what a block's first lines lack comes of the blocks
-    before, of which a file has few. No task reads more than a block.
+    before, of which a file has few. No task reads more than a block. A contig that comes twice is an error.
     """
     w = Window.partitionBy("file", "block").orderBy("line_no")
     head = F.col("value").startswith(">")
@@ -183,15 +188,20 @@ def fasta(lines: DataFrame, chunk: int = CHUNK) -> DataFrame:
     piece = F.substring("bases", (lo + 1).cast("int"), (hi - lo).cast("int"))
     parts = parts.select("contig", "chunk_no", F.struct((F.col("at") + lo).alias("at"), piece.alias("piece")).alias("p"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["piece"]), "")
-    return parts.groupBy("contig", "chunk_no").agg(joined.alias("bases"))
+    twice = F.sum(F.length("p.piece")) > F.max(F.col("p.at") + F.length("p.piece")) - F.min("p.at")
+    bases = F.when(twice, F.raise_error(F.concat(F.lit("contig comes twice: "), "contig"))).otherwise(joined)
+    return parts.groupBy("contig", "chunk_no").agg(bases.alias("bases"))
 
 
-def base_at(rows: DataFrame, sequence: DataFrame, position: Column, name: str, contig: str = "contig", chunk: int = CHUNK) -> DataFrame:
-    """Rows with the base at a position of their contig; null where there is none. One equi-join on the chunk."""
+def base_at(rows: DataFrame, sequence: DataFrame, position: Column, name: str, contig: str = "contig", chunk: int = CHUNK, strict: bool = False) -> DataFrame:
+    """Rows with the base at a position of their contig; null where there is none, or if strict an error. One equi-join on the chunk."""
     have = sequence.select(F.col("contig").alias("__contig"), F.col("chunk_no").alias("__no"), F.col("bases").alias("__bases"))
     at = rows.withColumn("__at", position)
     out = at.join(have, (F.col(contig) == F.col("__contig")) & (F.floor((F.col("__at") - 1) / chunk) == F.col("__no")), "left")
     base = F.nullif(F.substring("__bases", ((F.col("__at") - 1) % chunk + 1).cast("int"), F.lit(1)), F.lit(""))
+    if strict:
+        where = F.concat_ws(":", F.col(contig), F.col("__at").cast("string"))
+        base = F.coalesce(base, F.raise_error(F.concat(F.lit("no such contig, or a place outside of it: "), where)))
     return out.withColumn(name, base).drop("__at", "__contig", "__no", "__bases")
 
 

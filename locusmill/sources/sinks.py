@@ -9,34 +9,40 @@ from ..functions import expr as E
 
 VCF_FIELDS = ("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO")
 
-# INFO keys of the reports, and what they mean
+#: INFO keys of the reports with their number and type, and what they say
 RELEASE_INFO = {
-    "VC": (".", "String", "Variant class according to the Sequence Ontology"),
-    "SID": (".", "String", "Identifiers of studies that report a variant"),
-    "RS_VALIDATED": ("0", "Flag", "RS validated flag, present when the RS was validated by any method"),
-    "SS_VALIDATED": ("1", "Integer", "Number of submissions validated by any method"),
-    "ALMM": ("0", "Flag", "Alleles mismatch flag, present when some of the submitted variants have inconsistent allele information"),
-    "ASMM": ("0", "Flag", "Assembly mismatch flag, present when the reference allele doesn't match the reference sequence"),
-    "LOE": ("0", "Flag", "Lack of evidence flag, present if no submitted variant includes genotype or frequency information"),
-    "REMAPPED": ("0", "Flag", "Remapped flag, present when all submissions were remapped from another assembly"),
+    "VC": ("1", "String", "Kind of variant, a term of the Sequence Ontology"),
+    "SID": (".", "String", "Studies that submitted it"),
+    "RS_VALIDATED": ("0", "Flag", "The RS itself is marked as validated"),
+    "SS_VALIDATED": ("1", "Integer", "How many of its submissions are marked as validated"),
+    "ALMM": ("0", "Flag", "A submission's alleles do not fit its list of alleles"),
+    "ASMM": ("0", "Flag", "A submission's reference allele is not what the assembly has there"),
+    "LOE": ("0", "Flag", "No submission comes with genotypes or frequencies"),
+    "REMAPPED": ("0", "Flag", "All submissions came here from other assemblies"),
 }
-MERGED_INFO = RELEASE_INFO | {"CURR": (".", "String", "Identifier of the variant that the identifier was merged into")}
-MULTIMAP_INFO = RELEASE_INFO | {"MAP_WEIGHT": ("1", "Integer", "Number of places that the variant maps to")}
+MERGED_INFO = RELEASE_INFO | {"CURR": ("1", "String", "The RS that it was merged into")}
+MULTIMAP_INFO = RELEASE_INFO | {"MAP_WEIGHT": ("1", "Integer", "At how many places it lies")}
 EXPORT_INFO = {
-    "SS_HASH": ("1", "String", "Hash of the submitted variant"),
-    "RS": ("1", "String", "Identifier of the clustered variant"),
-    "BACKPROP_RS": ("1", "String", "Identifier propagated from a later assembly"),
+    "SS_HASH": ("1", "String", "Hash of the submission"),
+    "RS": ("1", "String", "RS of the submission"),
+    "BACKPROP_RS": ("1", "String", "RS that came back from a later assembly"),
     "PROJECT": ("1", "String", "Study of the submission"),
-    "TAX": ("1", "Integer", "Taxonomy"),
-    "CREATED": ("1", "String", "Date of creation"),
+    "TAX": ("1", "Integer", "Taxonomy of the submission"),
+    "CREATED": ("1", "String", "When the submission was created"),
 }
 
 
-def header(contigs: DataFrame, info: dict[str, tuple[str, str, str]], assembly: str | None = None) -> DataFrame:
+def header_lines(info: dict[str, tuple[str, str, str]], assembly: str | None = None, name: str | None = None, url: str | None = None) -> list[str]:
+    """The lines before the contigs. name: the assembly's display name (R12); url: where people can look it up."""
+    fields = [f"ID={name or assembly}", *([f"accession={assembly}"] if name else []), *([f"URL={url}"] if url else [])]
+    head = ["##fileformat=VCFv4.3", *([f"##reference=<{','.join(fields)}>"] if assembly else [])]
+    return head + [f'##INFO=<ID={k},Number={n},Type={t},Description="{d}">' for k, (n, t, d) in sorted(info.items())]
+
+
+def header(contigs: DataFrame, info: dict[str, tuple[str, str, str]], assembly: str | None = None, name: str | None = None, url: str | None = None) -> DataFrame:
     """part, line: the lines before the body. contigs: a column contig."""
     spark = contigs.sparkSession
-    head = ["##fileformat=VCFv4.3", *([f"##reference={assembly}"] if assembly else [])]
-    head += [f'##INFO=<ID={k},Number={n},Type={t},Description="{d}">' for k, (n, t, d) in sorted(info.items())]
+    head = header_lines(info, assembly, name, url)
     fixed = spark.createDataFrame([(i, x) for i, x in enumerate(head)] + [(1_000_000, "\t".join(VCF_FIELDS))], "part long, line string")
     named = contigs.select("contig").distinct().select(F.lit(1000).cast("long").alias("part"), F.format_string("##contig=<ID=%s>", "contig").alias("line"))
     return fixed.unionByName(named)

@@ -146,3 +146,28 @@ def test_stream(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() == 3 and got.select("ss_hash").distinct().count() == 3
     assert ingest.counts(got).first().n == 3
+
+
+def test_fasta_errors(spark, tmp_path):
+    import gzip
+
+    text = ">c1 first\nACGT\nAC\n>c2\nGG\n"
+    for name, data in (("a.fa.gz", gzip.compress(text.encode())), ("b.fa", gzip.compress(text.encode()))):
+        (tmp_path / name).write_bytes(data)
+        with pytest.raises(Exception, match="must not be compressed"):
+            files.fasta(files.fasta_lines(spark, str(tmp_path / name))).collect()
+    (tmp_path / "c.fa").write_text(text + ">c1 again\nAAAA\n")
+    with pytest.raises(Exception, match="contig comes twice"):
+        files.fasta(files.fasta_lines(spark, str(tmp_path / "c.fa"))).collect()
+    (tmp_path / "d.fa").write_text(text)
+    seq = files.fasta(files.fasta_lines(spark, str(tmp_path / "d.fa")), chunk=4)
+    rows = spark.createDataFrame([("c1", 6), ("c2", 2)], "contig string, at long")
+    assert sorted(r.base for r in files.base_at(rows, seq, F.col("at"), "base", chunk=4, strict=True).collect()) == ["C", "G"]
+    for bad in (("c1", 7), ("zz", 1)):
+        with pytest.raises(Exception, match="no such contig"):
+            files.base_at(spark.createDataFrame([bad], "contig string, at long"), seq, F.col("at"), "base", chunk=4, strict=True).collect()
+
+
+def test_header_names_the_assembly():
+    assert sinks.header_lines({}, "GCA_1.1", "One", "https://example.org/GCA_1.1")[1] == "##reference=<ID=One,accession=GCA_1.1,URL=https://example.org/GCA_1.1>"
+    assert sinks.header_lines({}, "GCA_1.1")[1] == "##reference=<ID=GCA_1.1>"

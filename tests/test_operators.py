@@ -254,8 +254,9 @@ def test_lookups(spark):
     with pytest.raises(Exception, match="positive"):
         lookup.beacon(ss, asked.withColumn("start", F.lit(0).cast("long"))).collect()
     changed = lookup.patched(ss, spark.createDataFrame([(7, "PX")], "accession long, study string"))
-    assert lookup.of_version(changed, 7, 2).first().study == "PX" and lookup.newest(changed).where("accession = 7").first().version == 2
-    assert lookup.merge_allowed(5, 6, 10) and not lookup.merge_allowed(5, 16, 10)
+    assert lookup.of_version(changed, spark.createDataFrame([(7, 2)], "accession long, version int")).first().study == "PX" and lookup.newest(changed).where("accession = 7").first().version == 2
+    moves = spark.createDataFrame([(5, 6), (5, 16), (12, 16)], "a long, b long")
+    assert [r[0] for r in moves.select(lookup.merge_allowed("a", "b", 10)).collect()] == [True, False, True]
 
 
 def test_qc(spark):
@@ -293,3 +294,25 @@ def test_export_and_ingest_job(spark):
     target = rows.withColumn("seq", F.when(F.col("accession") == 6, F.lit(OLD)).otherwise(F.col("seq")))
     insert, lost, run = jobs.ingest_remapped(back, names, target, ASM, OLD, ("r1", "a1"), spark.createDataFrame([], "remapping_id string"))
     assert pairs(insert, "accession", "contig") == [(6, "CM1")] and str(insert.first().created)[:4] == "2020" and lost.count() == 0 and run.count() == 1
+
+
+def test_walk_along_long_chains_and_cycles(spark):
+    """Rounds follow the logarithm of the length; a cycle ends where it began."""
+    steps = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 102), (102, 100)], "accession long, merge_into long")
+    met = graph.walk(spark.createDataFrame([(1,), (100,), (7,), (999,)], "origin long"), steps)
+    got = {(r.origin, r["at"]): r.hop for r in met.collect()}
+    assert got == {(1, i): i - 1 for i in range(1, 41)} | {(7, i): i - 7 for i in range(7, 41)} | {(100, 100): 0, (100, 101): 1, (100, 102): 2, (999, 999): 0}
+
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), type("Conf", (), {"get": lambda self, key, default: default})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        graph.shared_dir(Session())

@@ -281,6 +281,32 @@ def test_local_search_empties_bins():
         assert sorted(i for b in bins for i in b) == list(range(len(lengths))) and all(sum(lengths[i] for i in b) <= 100 for b in bins)
 
 
+def gains(bins, lengths, capacity):
+    """Whether any move, or swap of one or two pieces for one, fills a bin further from one that is no fuller."""
+    fill = [sum(lengths[i] for i in b) for b in bins]
+    for h, high in enumerate(bins):
+        for k, low in enumerate(bins):
+            if h == k or fill[k] > fill[h]:
+                continue
+            two = [lengths[a] + lengths[b] for n, a in enumerate(low) for b in low[n + 1 :]]
+            for give in (0, *(lengths[i] for i in high)):
+                if any(0 < more - give <= capacity - fill[h] for more in [*(lengths[i] for i in low), *(two if give else [])]):
+                    return True
+    return False
+
+
+def test_local_search_ends_at_an_optimum():
+    rng, fewer = random.Random(9), 0
+    for n, low, high in ((40, 1, 100), (60, 25, 60), (90, 30, 45), (30, 48, 56), (50, 5, 9), (60, 20, 90)) * 5:
+        lengths = [rng.randint(low, high) for _ in range(n)]
+        best = packing.best_fit(lengths, 100)
+        bins = packing.improve(best, lengths, 100)
+        assert sorted(i for b in bins for i in b) == list(range(n)) and len(bins) <= len(best)
+        assert len(bins) == -(-sum(lengths) // 100) or not gains(bins, lengths, 100)
+        fewer += len(best) - len(bins)
+    assert fewer > 0
+
+
 # --- op1 --------------------------------------------------------------------------------------------------------
 
 

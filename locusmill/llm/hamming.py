@@ -1,12 +1,15 @@
-"""Exact top-k search over binary codes by incremental multi-index hashing.
+"""Exact top-k search over binary codes by incremental multi-index hashing, routed over the cluster.
 
-Codes are cut into SEGMENTS parts, each with an index of its own. For a query, segment j is searched at radius r, in the
-order of r and then j. Once segment j is done at radius r, every code at a distance of at most SEGMENTS * r + j has been
-met: a farther one would differ in more bits somewhere. The search ends when k rows other than the query lie within
-that distance.
+Codes are cut into SEGMENTS parts, each with an index of its own. An index is dealt into cells by the first bits of its
+part. At radius r a query asks for the codes whose part differs from its own in r bits, in every index, and it goes to
+those cells only whose bits differ from its own in r places or fewer. After radius r every code at a distance of at most
+SEGMENTS * (r + 1) - 1 has been met: a farther one would differ in more bits somewhere. A query is done once k rows
+other than itself lie within that distance. A round over the cluster takes STEP radii. What is left when a radius
+reaches all cells meets every code once.
 
-Equal codes are one entry that holds its k + 1 smallest ids, more can never be returned. Entries are dealt into blocks
-of bounded size, each with its own index, and queries into batches; every batch meets every block.
+Equal codes are one entry that holds its k + 1 smallest ids, more can never be returned. The number of cells grows with
+the entries. A cell with more than BLOCK entries is dealt into blocks, the queries of one cell into batches; every batch
+of a cell meets every block of that cell.
 
 Defined results: rows without a code (null or empty vector) neither ask nor are found. A vector of fewer components than
 bits has zeros for the rest; one of more is an error. A row is not its own neighbour; ties go to the smaller id; with k
@@ -25,7 +28,9 @@ from pyspark.sql import functions as F
 from .common import cut, map_batches, table
 
 BITS, SEGMENTS, K, EVERY = 64, 4, 10, 50
-BLOCK, BATCH = 65_536, 512
+CELL, BLOCK, BATCH = 4096, 65_536, 4096
+LEAST_PREFIX = 4  #: bits that tell the cells of an index apart, at the least
+STEP = 2
 
 
 def codes(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", bits: int = BITS) -> DataFrame:
@@ -49,77 +54,114 @@ def flips(width: int) -> list[np.ndarray]:
 
 
 class Index:
-    def __init__(self, block: np.ndarray, counts: np.ndarray, segments: int = SEGMENTS, bits: int = BITS):
-        """block: distinct codes. counts: rows behind each."""
-        self.block, self.counts, self.segments, self.width = block, counts, segments, bits // segments
-        self.masks = flips(self.width)
-        self.order, self.edge = [], []
-        for j in range(segments):
-            part = self.part(block, j)
-            self.order.append(np.argsort(part, kind="stable"))
-            self.edge.append(np.searchsorted(part[self.order[-1]], np.arange((1 << self.width) + 1)))
-
-    def part(self, code: np.ndarray, j: int) -> np.ndarray:
-        return ((code >> np.uint64(j * self.width)) & np.uint64((1 << self.width) - 1)).astype(np.int64)
-
-    def search(self, code: np.uint64, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and distances of entries that hold the k nearest rows, the nearest entries whole."""
-        far = np.full(BITS + 1, 0)
-        met = np.zeros(len(self.block), bool)
-        places = []
-        for r in range(self.width + 1):
-            for j in range(self.segments):
-                near = int(self.part(np.array([code]), j)[0]) ^ self.masks[r]
-                lo, hi = self.edge[j][near], self.edge[j][near + 1]
-                some = np.flatnonzero(hi > lo)
-                if len(some):
-                    new = np.concatenate([self.order[j][a:b] for a, b in zip(lo[some].tolist(), hi[some].tolist())])
-                    new = new[~met[new]]
-                    met[new] = True
-                    places.append(new)
-                    np.add.at(far, np.bitwise_count(self.block[new] ^ code), self.counts[new])
-                if far[: self.segments * r + j + 1].sum() >= k:
-                    return self.nearest(code, places, far, k)
-        return self.nearest(code, places, far, k)
-
-    def nearest(self, code: np.uint64, places: list[np.ndarray], far: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        every = np.concatenate(places) if places else np.zeros(0, np.int64)
-        d = np.bitwise_count(self.block[every] ^ code).astype(np.int64)
-        enough = np.flatnonzero(np.cumsum(far) >= k)
-        keep = d <= (enough[0] if len(enough) else BITS)
-        return every[keep], d[keep]
-
-
-def top_k(rows: DataFrame, asks: Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK, batch: int = BATCH) -> DataFrame:
-    """vec_id, rank, neighbor_id, distance: the k nearest other rows of each row for which asks holds (a condition on vec_id)."""
-    least = F.min(F.col("code").bitwiseXOR(F.lit(-(1 << 63)))).bitwiseXOR(F.lit(-(1 << 63)))  # as unsigned
-    coded = cut(codes(rows, id_col, vector_col).groupBy("vec_id").agg(least.alias("code")))
-    first = Window.partitionBy("code").orderBy("vec_id")
-    entries = coded.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
-    entries = cut(entries.groupBy("code").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
-    wanted = cut(coded.where(asks))
-    asked = cut(wanted.select("code").distinct())
-    blocks, batches = (max(1, -(-x.count() // n)) for x, n in ((entries, block), (asked, batch)))
-    deal = lambda n, salt: F.pmod(F.xxhash64("code", F.lit(salt)), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    have = entries.select(deal(blocks, 1).alias("block"), "code", "ids").withColumn("batch", every(batches))
-    ask = asked.select(deal(batches, 2).alias("batch"), "code").withColumn("block", every(blocks))
+    """One block of a cell: its entries by the bits of their part that the cell leaves open."""
+
+    def __init__(self, block: np.ndarray, counts: np.ndarray, shift: int, width: int):
+        """block: distinct codes. counts: rows behind each. The open bits are the width ones from shift on."""
+        self.block, self.counts, self.shift, self.width, self.masks = block, counts, shift, width, flips(width)
+        part = self.open(block)
+        self.order = np.argsort(part, kind="stable")
+        self.edge = np.searchsorted(part[self.order], np.arange((1 << width) + 1))
+
+    def open(self, code: np.ndarray) -> np.ndarray:
+        return ((code >> np.uint64(self.shift)) & np.uint64((1 << self.width) - 1)).astype(np.int64)
+
+    def search(self, code: np.uint64, least: int, most: int, far: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and distances of entries that differ in least to most open bits and lie within far: the k nearest rows, the nearest entries whole."""
+        places = np.arange(len(self.block))
+        if least > 0 or most < self.width:
+            near = int(self.open(np.array([code]))[0]) ^ np.concatenate(self.masks[least : most + 1])
+            lo, hi = self.edge[near], self.edge[near + 1]
+            some = np.flatnonzero(hi > lo)
+            places = np.concatenate([self.order[a:b] for a, b in zip(lo[some].tolist(), hi[some].tolist())]) if len(some) else places[:0]
+        d = np.bitwise_count(self.block[places] ^ code).astype(np.int64)
+        places, d = places[d <= far], d[d <= far]
+        enough = np.flatnonzero(np.cumsum(np.bincount(d, weights=self.counts[places])) >= k) if len(d) else []
+        keep = d <= enough[0] if len(enough) else slice(None)
+        return places[keep], d[keep]
+
+
+def met(index: DataFrame, cells: DataFrame, pending: DataFrame, radii: range | None, k: int, segments: int, width: int, prefix: int, batch: int) -> DataFrame:
+    """code, distance, neighbor_id: for the codes of pending, the nearest of the rows at one of these radii in some segment (None: of all rows)."""
+    rest = width - prefix
+    low, high = (radii[0], radii[-1]) if radii else (0, width)
+    masks = [m for m in range(1 << prefix) if low - rest <= m.bit_count() <= high]
+    flip = F.explode(F.split(F.lit(",".join(map(str, masks))), ",").cast("array<int>"))  # one literal, however many
+    home = [F.struct(F.lit(j).alias("segment"), cell_of("code", j, width, prefix).alias("home")) for j in range(segments if radii else 1)]
+    probe = pending.select("code", "far", F.explode(F.array(*home)).alias("at")).select("code", "far", "at.*", flip.alias("flip"))
+    apart, cell = F.bit_count("flip"), F.col("home").bitwiseXOR(F.col("flip"))
+    least, most = F.greatest(F.lit(low) - apart, F.lit(0)), F.least(F.lit(high) - apart, F.lit(rest))
+    probe = probe.select("code", "far", "segment", cell.alias("cell"), least.cast("int").alias("least"), most.cast("int").alias("most"))
+    load = probe.groupBy("segment", "cell").agg(F.ceil(F.count("*") / batch).cast("int").alias("batches"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    ask = probe.join(load.join(cells, ["segment", "cell"]), ["segment", "cell"])
+    ask = ask.withColumn("batch", F.pmod(F.xxhash64("code", F.lit(2)), F.col("batches")).cast("int")).withColumn("block", every("blocks"))
+    have = index.join(load, ["segment", "cell"]).withColumn("batch", every("batches"))
 
     def search(mine: pa.Table, theirs: pa.Table) -> pa.Table:
         out: list[tuple[int, int, int]] = []
         if mine.num_rows and theirs.num_rows:
             ids = mine.column("ids").to_pylist()
-            index = Index(np.asarray(mine.column("code")).view(np.uint64), np.array([len(x) for x in ids]))
-            for code in np.asarray(theirs.column("code")):
-                places, far = index.search(code.view(np.uint64), k + 1)
-                found = sorted((d, i) for p, d in zip(places.tolist(), far.tolist()) for i in ids[p])[: k + 1]
-                out += [(int(code), d, i) for d, i in found]
+            block = Index(np.asarray(mine.column("code")).view(np.uint64), np.array([len(x) for x in ids]), theirs.column("segment")[0].as_py() * width, rest)
+            asked = (np.asarray(theirs.column(n)) for n in ("code", "least", "most", "far"))
+            for code, least, most, far in zip(*asked):
+                places, d = block.search(code.view(np.uint64), int(least), int(most), int(far), k)
+                found = sorted((x, i) for p, x in zip(places.tolist(), d.tolist()) for i in ids[p])[:k]
+                out += [(int(code), x, i) for x, i in found]
         cols = list(zip(*out)) or [(), (), ()]
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("code", "distance", "neighbor_id"), cols)})
 
-    found = have.groupBy("block", "batch").cogroup(ask.groupBy("block", "batch")).applyInArrow(search, "code long, distance long, neighbor_id long")
-    best = found.withColumn("n", F.row_number().over(Window.partitionBy("code").orderBy("distance", "neighbor_id"))).where(F.col("n") <= k + 1)
-    mine = wanted.join(best.drop("n"), "code").where("vec_id <> neighbor_id")
+    unit = ["segment", "cell", "block", "batch"]
+    mine = have.select(*unit, "code", "ids").groupBy(*unit)
+    return mine.cogroup(ask.select(*unit, "code", "least", "most", "far").groupBy(*unit)).applyInArrow(search, "code long, distance long, neighbor_id long")
+
+
+def cell_of(code: str, segment: int, width: int, prefix: int) -> Column:
+    """The first prefix bits of a segment."""
+    return F.shiftrightunsigned(code, segment * width + width - prefix).bitwiseAND(F.lit((1 << prefix) - 1)).cast("int")
+
+
+def top_k(
+    rows: DataFrame, asks: Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", segments: int = SEGMENTS, cell: int = CELL, block: int = BLOCK, batch: int = BATCH
+) -> DataFrame:
+    """vec_id, rank, neighbor_id, distance: the k nearest other rows of each row for which asks holds (a condition on vec_id).
+
+    cell: entries that a cell should have on average. Of the k + 1 best rows of a query one may be itself.
+    """
+    least = F.min(F.col("code").bitwiseXOR(F.lit(-(1 << 63)))).bitwiseXOR(F.lit(-(1 << 63)))  # as unsigned
+    coded = cut(codes(rows, id_col, vector_col).groupBy("vec_id").agg(least.alias("code")))
+    first = Window.partitionBy("code").orderBy("vec_id")
+    entries = coded.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
+    entries = cut(entries.groupBy("code").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
+    width = BITS // segments
+    prefix = min(width, max(LEAST_PREFIX, (entries.count() // cell).bit_length()))
+    home = F.explode(F.array(*(F.struct(F.lit(j).alias("segment"), cell_of("code", j, width, prefix).alias("cell")) for j in range(segments))))
+    placed = entries.select("code", "ids", home.alias("at")).select("code", "ids", "at.*")
+    cells = cut(placed.groupBy("segment", "cell").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")))
+    index = cut(placed.join(cells, ["segment", "cell"]).withColumn("block", F.pmod(F.xxhash64("code", F.lit(1)), F.col("blocks")).cast("int")).drop("blocks"))
+
+    # a row without a neighbour stands for those not found yet; it is farther than any other
+    wanted = cut(coded.where(asks))
+    none = [F.lit(BITS + 1).cast("long").alias("distance"), F.lit(None).cast("long").alias("neighbor_id"), F.lit(BITS + 1).cast("long").alias("far")]
+    best, done = wanted.select("code").distinct().select("code", *none), []
+    order = Window.partitionBy("code").orderBy("distance", F.col("neighbor_id").asc_nulls_last())
+    for radii in [*(range(r, min(r + STEP, prefix)) for r in range(0, prefix, STEP)), None]:
+        pending = best.groupBy("code").agg(F.max("distance").alias("far"))
+        both = best.drop("far").unionByName(met(index, cells, pending, radii, k + 1, segments, width, prefix, batch)).distinct()
+        kept = both.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
+        fresh = cut(kept.select("code", "distance", "neighbor_id", F.max("distance").over(Window.partitionBy("code")).alias("far")))
+        if radii is None:
+            done.append(fresh)
+            break
+        covered = segments * (radii[-1] + 1) - 1
+        done.append(fresh.where(F.col("far") <= covered))
+        best = fresh.where(F.col("far") > covered)
+        if best.isEmpty():
+            break
+    found = done[0]
+    for more in done[1:]:
+        found = found.unionByName(more)
+    mine = wanted.join(found.drop("far"), "code").where("vec_id <> neighbor_id")
     rank = F.row_number().over(Window.partitionBy("vec_id").orderBy("distance", "neighbor_id")).cast("long")
     return mine.withColumn("rank", rank).where(F.col("rank") <= k).select("vec_id", "rank", "neighbor_id", "distance")
 

@@ -366,8 +366,8 @@ def test_top_k(spark):
     rows = [(i, [float(x) for x in v], 0) for i, v in enumerate(vectors)] + [(1000, None, 0), (1001, [], 0), (None, [1.0], 0)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, distance int")
     codes = {i: sum(1 << b for b, x in enumerate(v) if np.float32(x) > 0) for i, v in enumerate(vectors)}
-    for block, batch in ((65_536, 512), (60, 3)):
-        got = {tuple(r) for r in hamming.top_k(df, F.col("vec_id") % 50 == 0, block=block, batch=batch).collect()}
+    for cell, block, batch in ((4096, 65_536, 512), (30, 20, 3)):
+        got = {tuple(r) for r in hamming.top_k(df, F.col("vec_id") % 50 == 0, cell=cell, block=block, batch=batch).collect()}
         assert got == brute_top_k(codes, range(0, 400, 50), 10)
     twice = df.where("vec_id < 60").unionByName(df.where("vec_id < 60")).unionByName(df.where("vec_id between 60 and 119").withColumn("vec_id", F.col("vec_id") - 60))
     least = {i: min(codes[i], codes[i + 60]) for i in range(60)}

@@ -62,6 +62,16 @@ def missing(wanted: DataFrame, accessioned: DataFrame, key: str) -> DataFrame:
     return wanted.select(key).distinct().join(accessioned.select(key), key, "left_anti")
 
 
+def counts(wanted: DataFrame, accessioned: DataFrame, key: str) -> DataFrame:
+    """One row: submitted rows, distinct ones, duplicates, distinct ones with an accession and those without."""
+    keys = wanted.groupBy(key).agg(F.count("*").alias("n")).join(accessioned.select(key, F.lit(True).alias("has")).distinct(), key, "left")
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    return keys.agg(
+        total.alias("n_submitted"), F.count("has").alias("n_accessioned"), F.count("*").alias("n_distinct"),
+        (total - F.count("*")).alias("n_duplicate"), F.count_if(F.col("has").isNull()).alias("n_discarded"),
+    )
+
+
 def active(rows: DataFrame, ids: DataFrame, assembly_column: str, assembly: str, current_from: int) -> DataFrame:
     """Rows of an assembly whose accession is asked for, each asked of the table that its number belongs to."""
     routed = ids.select("accession", F.when(F.col("accession") >= current_from, "current").otherwise("legacy").alias("source")).distinct()

@@ -157,6 +157,12 @@ def split(sve: DataFrame, start: int, interval: int) -> tuple[DataFrame, DataFra
     return rows, events, fresh.select(F.col("new_rs").alias("rs"), "rs_hash", "seq")
 
 
+def keeper_rows(sve: DataFrame, cve: DataFrame) -> DataFrame:
+    """The clustered rows (rs, rs_hash, seq) of keepers whose hash no stored row has; a hash that several RSs keep goes to the smallest."""
+    kept = split_ranks(sve).where("keeps").groupBy("rs_hash", "seq").agg(F.min("rs").alias("rs"))
+    return kept.join(cve.select("rs_hash"), "rs_hash", "left_anti").select("rs", "rs_hash", "seq")
+
+
 def split_duplicate_ss(sve: DataFrame, start: int, interval: int) -> DataFrame:
     """Id, event, accession, split_into, ss_hash: all but the keeper of a submitted id get new ids."""
     losers = cut(duplicate_ss_ranks(sve).where("not keeps").select("seq", "accession", "ss_hash"))
@@ -183,10 +189,21 @@ def back_propagate(original: DataFrame, remapped: DataFrame) -> DataFrame:
 
 
 def metrics(before: DataFrame, after: DataFrame) -> DataFrame:
-    """One row: rows, clustered before and after, merged and changed rows."""
+    """One row: rows, clustered before and after, newly clustered, changed and left unclustered."""
     old = before.select("ss_hash", "accession", "seq", F.col("rs").alias("old_rs"))
     both = old.join(after.select("ss_hash", "accession", "seq", "rs"), ["ss_hash", "accession", "seq"])
     return both.agg(
         F.count("*").alias("n_rows"), F.count("old_rs").alias("n_clustered_before"), F.count("rs").alias("n_clustered_after"),
         F.count_if(F.col("old_rs").isNull() & F.col("rs").isNotNull()).alias("n_newly_clustered"), F.count_if(F.col("old_rs") != F.col("rs")).alias("n_updated"),
+        F.count_if(F.col("rs").isNull()).alias("n_kept_unclustered"),
     )
+
+
+def operation_counts(cve_events: DataFrame, sve_events: DataFrame) -> DataFrame:
+    """One row of counters, from the event logs of clustered and of submitted rows."""
+    logs = cve_events.select(F.lit("rs").alias("what"), "event").unionByName(sve_events.select(F.lit("ss").alias("what"), "event"))
+    counters = {
+        "n_rs_split": ("rs", S.RS_SPLIT), "n_merge_operations": ("rs", S.MERGED), "n_rs_deprecated": ("rs", S.DEPRECATED),
+        "n_update_operations": ("ss", S.UPDATED), "n_ss_split": ("ss", S.SS_SPLIT), "n_ss_deprecated": ("ss", S.DEPRECATED),
+    }
+    return logs.agg(*(F.count_if((F.col("what") == what) & (F.col("event") == event)).alias(n) for n, (what, event) in counters.items()))

@@ -103,3 +103,12 @@ def discard_events(lost: DataFrame) -> DataFrame:
     source = F.coalesce("remapped_from", F.lit("native"))
     text = F.concat(F.lit("DISCARD_SS_"), F.col("accession").cast("string"), F.lit("_HASH_"), "ss_hash", F.lit("_SOURCE_"), source)
     return lost.select(text.alias("id"), F.lit(S.DISCARDED).alias("event"), "accession", "ss_hash", "is_stored").dropDuplicates(["id"])
+
+
+def ingest_counts(incoming: DataFrame, inserted: DataFrame, lost: DataFrame) -> DataFrame:
+    """One row: ingested rows, events of discarded rows, and skipped rows (stored already, or equal to another that came along)."""
+    tallies = incoming.select(F.lit("in").alias("what")).unionByName(inserted.select(F.lit("new").alias("what")))
+    tallies = tallies.unionByName(lost.where("not is_stored").select(F.lit("lost").alias("what")))
+    tallies = tallies.unionByName(discard_events(lost).select(F.lit("event").alias("what")))
+    n = {x: F.count_if(F.col("what") == x) for x in ("in", "new", "lost", "event")}
+    return tallies.agg(n["new"].alias("n_ingested"), n["event"].alias("n_discarded"), (n["in"] - n["new"] - n["lost"]).alias("n_skipped"))

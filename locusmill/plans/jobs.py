@@ -49,7 +49,8 @@ def check_report(report: DataFrame, source: DataFrame) -> DataFrame:
 def cluster_assembly(sve: DataFrame, cve: DataFrame, assembly: str, start: int, interval: int, remapped_from: str | None = None) -> Clustered:
     """Merge, split, then assign or create RSs for unclustered rows; with remapped_from, propagate RSs back at the end."""
     merged, updates, merges = cluster.merge(sve)
-    split, splits, fresh = cluster.split(cut(merged), start, interval)
+    merged = cut(merged)
+    split, splits, fresh = cluster.split(merged, start, interval)
     split = cut(split)
     # a locus belongs to the RS that its submissions have by now; else to a stored row, unless that RS was merged away
     now = split.where("rs is not null and map_weight is null").groupBy("rs_hash").agg(F.min("rs").alias("accession"))
@@ -62,7 +63,7 @@ def cluster_assembly(sve: DataFrame, cve: DataFrame, assembly: str, start: int,
     keys = ["ss_hash", "accession", "seq"]
     assigned = mine.where("map_weight is null").join(ids.select("rs_hash", F.col("accession").alias("new_rs")), "rs_hash").select(*keys, "new_rs").distinct()
     rows = split.join(assigned, keys, "left").withColumn("rs", F.coalesce("rs", "new_rs")).drop("new_rs").select(*sve.columns)
-    created = fresh.unionByName(ids.where("is_new").select(F.col("accession").alias("rs"), "rs_hash", F.lit(assembly).alias("seq")))
+    created = fresh.unionByName(cluster.keeper_rows(merged, cve)).unionByName(ids.where("is_new").select(F.col("accession").alias("rs"), "rs_hash", F.lit(assembly).alias("seq")))
     if remapped_from:
         back = cluster.back_propagate(rows.where(F.col("seq") == remapped_from), rows.where(F.col("seq") == assembly)).select(*keys, F.col("back_prop_rs").alias("new_back")).distinct()
         rows = rows.join(back, keys, "left").withColumn("back_prop_rs", F.coalesce("new_back", "back_prop_rs")).drop("new_back").select(*sve.columns)

@@ -310,6 +310,13 @@ def split_new_rs(sve):
     return cluster.split(sve, 3_600_000_000, INTERVAL)[1].select("id", "accession", "split_into")
 
 
+@query("split_keeper_rows", f"WITH {CVE_SQL}, {SPLITS} SELECT min(rs) AS rs, rs_hash, seq FROM split WHERE n_loci > 1 AND keeps AND rs_hash NOT IN (SELECT rs_hash FROM cve) GROUP BY rs_hash, seq")
+@of("sve", "cve")
+def split_keeper_rows(sve, cve):
+    """L7."""
+    return cluster.keeper_rows(sve, cve)
+
+
 DUP_SS = """dup AS (SELECT *, count(*) OVER (PARTITION BY seq, accession) AS n_rows, row_number() OVER (PARTITION BY seq, accession ORDER BY rs IS NULL, NOT coalesce(evidence, true), concat_ws('_', seq, study, contig, CAST(start AS VARCHAR), ref, alt)) = 1 AS keeps
     FROM (SELECT DISTINCT seq, accession // 4 AS accession, ss_hash, rs, evidence, study, contig, start, ref, alt FROM (SELECT *, row_number() OVER (PARTITION BY seq, accession // 4, ss_hash ORDER BY accession) AS k FROM sve
     WHERE map_weight IS NULL AND coalesce(alleles_match, true) AND remapped_from IS NULL) WHERE k = 1))"""
@@ -367,7 +374,7 @@ def backprop_rs(sve):
 
 @query("clustering_metrics", f"""WITH RECURSIVE {SVE_SQL}, {LABELS}, d AS (SELECT DISTINCT ss_hash, accession, seq, rs FROM sve), a AS (SELECT d.*, coalesce(target, d.rs) AS new_rs FROM d LEFT JOIN labels l ON d.seq = l.seq AND d.rs = l.rs)
     SELECT count(*) AS n_rows, count(o.rs) AS n_clustered_before, count(a.new_rs) AS n_clustered_after, CAST(sum(CASE WHEN o.rs IS NULL AND a.new_rs IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_newly_clustered,
-    CAST(sum(CASE WHEN o.rs <> a.new_rs THEN 1 ELSE 0 END) AS BIGINT) AS n_updated FROM d o JOIN a USING (ss_hash, accession, seq)""")
+    CAST(sum(CASE WHEN o.rs <> a.new_rs THEN 1 ELSE 0 END) AS BIGINT) AS n_updated, count(*) - count(a.new_rs) AS n_kept_unclustered FROM d o JOIN a USING (ss_hash, accession, seq)""")
 @of("sve")
 def clustering_metrics(sve):
     """A14."""
@@ -375,6 +382,24 @@ def clustering_metrics(sve):
     return cluster.metrics(rows, cluster.merge(rows)[0])
 
 
+@query("operation_counts", f"""WITH {EVENTS_SQL} SELECT count(*) FILTER (what = 'rs' AND event = 'RS_SPLIT') AS n_rs_split, count(*) FILTER (what = 'rs' AND event = 'MERGED') AS n_merge_operations,
+    count(*) FILTER (what = 'rs' AND event = 'DEPRECATED') AS n_rs_deprecated, count(*) FILTER (what = 'ss' AND event = 'UPDATED') AS n_update_operations,
+    count(*) FILTER (what = 'ss' AND event = 'SS_SPLIT') AS n_ss_split, count(*) FILTER (what = 'ss' AND event = 'DEPRECATED') AS n_ss_deprecated
+    FROM (SELECT 'rs' AS what, event FROM cvoe UNION ALL SELECT 'ss', event FROM svoe)""")
+@of("cvoe", "svoe")
+def operation_counts(cvoe, svoe):
+    """A14."""
+    return cluster.operation_counts(cvoe, svoe)
+
+
+@query("accession_counts", f"""WITH {SVE_SQL}, k AS (SELECT ss_hash, count(*) AS n, bool_or(version = 1) AS has FROM sve GROUP BY ss_hash)
+    SELECT CAST(sum(n) AS BIGINT) AS n_submitted, count(*) FILTER (has) AS n_accessioned, count(*) AS n_distinct, CAST(sum(n) - count(*) AS BIGINT) AS n_duplicate, count(*) FILTER (NOT has) AS n_discarded FROM k""")
+@of("sve")
+def accession_counts(sve):
+    """A14, with the hashes of first versions as those that got an accession."""
+    return accession.counts(sve, sve.where("version = 1"), "ss_hash")
+
+
 # --- ingest, import, deprecation --------------------------------------------------------------------------------
 
 INGEST = f"""
@@ -391,20 +416,22 @@ h AS (SELECT *, CASE WHEN bool_or(NOT is_stored) OVER (PARTITION BY seq, ss_hash
 i AS (SELECT * EXCLUDE (k), CASE WHEN bool_or(NOT is_stored) OVER (PARTITION BY seq, accession) THEN row_number() OVER (PARTITION BY seq, accession ORDER BY remapped_from IS NOT NULL, created, accession, ss_hash, is_stored DESC) ELSE 1 END AS k FROM h WHERE k = 1)"""
 
 
-def ingested(sve: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def ingested(sve: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """What comes in, then what remap.ingest() makes of it."""
     order = [F.col("rs").asc_nulls_last(), F.col("created")]
     ours = sve.where(F.col("seq") == ASSEMBLY)
     incoming = cluster.best(ours.where("remapped_from is not null"), ["accession", "ss_hash"], *order)
     stored = cluster.best(ours.where("remapped_from is null or coalesce(validated, false)"), ["accession", "ss_hash"], *order)
     again = incoming.where("version = 1").withColumn("accession", F.col("accession") + 20)
-    return remap.ingest(incoming.unionByName(again), stored)
+    incoming = incoming.unionByName(again)
+    return incoming, *remap.ingest(incoming, stored)
 
 
 @query("ingest_inserted", f"WITH {SVE_SQL}, {INGEST} SELECT accession, ss_hash FROM i WHERE k = 1 AND NOT is_stored")
 @of("sve")
 def ingest_inserted(sve):
     """A8, L12."""
-    return ingested(sve)[0].select("accession", "ss_hash")
+    return ingested(sve)[1].select("accession", "ss_hash")
 
 
 @query("discard_duplicates", f"""WITH {SVE_SQL}, {INGEST}, lost AS (SELECT accession, ss_hash, remapped_from FROM h WHERE k > 1 UNION ALL SELECT accession, ss_hash, remapped_from FROM i WHERE k > 1)
@@ -412,7 +439,18 @@ def ingest_inserted(sve):
 @of("sve")
 def discard_duplicates(sve):
     """A8, A10, L12, P20."""
-    return remap.discard_events(ingested(sve)[1]).select("id", "accession", "ss_hash")
+    return remap.discard_events(ingested(sve)[2]).select("id", "accession", "ss_hash")
+
+
+@query("ingest_counts", f"""WITH {SVE_SQL}, {INGEST}, lost AS (SELECT accession, ss_hash, remapped_from, is_stored FROM h WHERE k > 1 UNION ALL SELECT accession, ss_hash, remapped_from, is_stored FROM i WHERE k > 1),
+    ins AS (SELECT count(*) AS n FROM i WHERE k = 1 AND NOT is_stored)
+    SELECT n AS n_ingested, (SELECT count(*) FROM (SELECT DISTINCT accession, ss_hash, coalesce(remapped_from, 'native') FROM lost)) AS n_discarded,
+    (SELECT count(*) FROM inc) - n - (SELECT count(*) FROM lost WHERE NOT is_stored) AS n_skipped FROM ins""")
+@of("sve")
+def ingest_counts(sve):
+    """A14."""
+    incoming, inserted, lost, _ = ingested(sve)
+    return remap.ingest_counts(incoming, inserted, lost)
 
 
 @query("source_dates", f"""WITH {SVE_SQL}, f AS (SELECT accession + 10 AS accession, min(created) AS first FROM sve WHERE seq = '{REMAPPED_FROM}' GROUP BY accession)

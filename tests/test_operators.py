@@ -96,6 +96,24 @@ def test_split_tie_goes_to_the_oldest(spark):
     assert by[1] == by[2] == 5 and by[3] == by[4] != 5 and by[5] == by[6] != 5 and by[3] != by[5]
 
 
+def test_keeper_gets_a_row_where_its_hash_has_none(spark):
+    rows = sve(spark, (1, 5, 100), (2, 5, 101), (3, 5, 101, {"alt": "G"}), (4, 6, 101), (5, 6, 300), (6, 7, 400))
+    assert pairs(cluster.keeper_rows(rows, cve(spark, (5, 100))), "rs", "seq") == [(5, ASM)]  # 6 keeps the same hash
+    assert cluster.keeper_rows(rows, cve(spark, (8, 101))).count() == 0  # whatever RS the hash has
+    job = jobs.cluster_assembly(sve(spark, (1, 5, 100), (2, 5, 101), (3, 5, 101, {"alt": "G"})), cve(spark, (5, 100)), ASM, 900, 10)
+    assert pairs(job.created, "rs") == [(5,), (900,)]
+
+
+def test_counters(spark):
+    rows = sve(spark, (1, 5, 100), (2, 6, 100), (3, None, 200), (4, None, 300))
+    assert tuple(accession.counts(rows, rows.where("start < 300"), "ss_hash").first()) == (4, 2, 3, 1, 1)
+    assert tuple(accession.counts(rows.limit(0), rows, "ss_hash").first()) == (0, 0, 0, 0, 0)
+    assert cluster.metrics(rows, rows).first().n_kept_unclustered == 2
+    rs = spark.createDataFrame([("MERGED",), ("MERGED",), ("RS_SPLIT",), ("DEPRECATED",), (None,)], "event string")
+    ss = spark.createDataFrame([("UPDATED",), ("DEPRECATED",), ("SS_SPLIT",), ("MERGED",), ("DISCARDED",)], "event string")
+    assert cluster.operation_counts(rs, ss).first().asDict() == dict(n_rs_split=1, n_merge_operations=2, n_rs_deprecated=1, n_update_operations=1, n_ss_split=1, n_ss_deprecated=1)
+
+
 def test_duplicate_ss(spark):
     rows = sve(spark, (1, None, 100), (1, 7, 101), (1, 7, 102, {"remapped_from": OLD}), (2, None, 5, {"evidence": False}), (2, None, 6), (3, 1, 1), (4, 1, 1, {"map_weight": 2}), (4, 1, 2, {"map_weight": 2}))
     got = pairs(cluster.duplicate_ss_ranks(rows), "accession", "start", "keeps")
@@ -134,6 +152,7 @@ def test_discards(spark):
     insert, lost, skipped = remap.ingest(new, stored)
     assert pairs(insert, "accession", "start") == [(7, 700)]
     assert pairs(lost, "accession", "start") == [(1, 150), (9, 200)] and pairs(skipped, "accession") == [(3,)]
+    assert tuple(remap.ingest_counts(new, insert, lost).first()) == (1, 2, 1)
     assert remap.discard_events(lost).where("id like 'DISCARD_SS_9_HASH_%'").count() == 1
     twice = remap.ingest(new.where("accession = 7").unionByName(new.where("accession = 7")), stored)
     assert twice[0].count() == 1 and remap.ingest(new.where("accession = 7"), stored.unionByName(twice[0]))[0].count() == 0

@@ -244,9 +244,8 @@ def drawn(c: np.ndarray, T: np.ndarray, n: np.ndarray, parent: Root, scale: floa
     ratio = per_worker("pitman_yor ways", ways)
     out, best = np.ones(len(c), np.int64), rng.gumbel(size=len(c))
     live, log_w, top, t = np.arange(len(c)), np.zeros(len(c)), np.zeros(len(c)), 1
-    while len(live):
+    while len(live := live[c[live] > t]):  # before ratio is asked: it has no column beyond EXACT tables, not even for no pairs
         t += 1
-        live = live[c[live] >= t]
         log_w[live] += np.log((THETA + D * (T[live] + t - 1)) * parent.weight(n[live] + t - 1) / scale) + ratio[c[live], t]
         v = log_w[live] + rng.gumbel(size=len(live))
         better = v > best[live]

@@ -504,6 +504,14 @@ def test_draws_follow_the_exact_distribution():
             assert c <= 7 or abs((many == t).mean() - x) < 0.02
 
 
+def test_draws_reach_as_many_tables_as_customers():
+    rng, parent, most = np.random.default_rng(0), pitman_yor.Root(0.5), pitman_yor.EXACT
+    for c in ([most] * 3, [2, most - 1, most], [2, 3]):  # a restaurant so full of tables that each customer opens one
+        got = pitman_yor.drawn(np.array(c), np.full(len(c), 1e6), np.full(len(c), 1e6), parent, 1.0, rng)
+        assert got.tolist() == c
+    assert pitman_yor.drawn(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), parent, 1.0, rng).tolist() == []
+
+
 def test_parent_sums_its_tables_out():
     """Against all seatings of up to seven customers."""
     b, d = 0.6, pitman_yor.ROOT_D

@@ -94,9 +94,11 @@ def met(index: DataFrame, cells: DataFrame, pending: DataFrame, radii: range | N
     probe = probe.select("code", "far", "segment", cell.alias("cell"), least.cast("int").alias("least"), most.cast("int").alias("most"))
     load = probe.groupBy("segment", "cell").agg(F.ceil(F.count("*") / batch).cast("int").alias("batches"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    ask = probe.join(load.join(cells, ["segment", "cell"]), ["segment", "cell"])
+    # load and cells have a row for each cell, 2 ** prefix a segment at most. They are named as what is broadcast, since Spark takes
+    # what is exploded for no larger than what it comes from, and would send all that queries ask to the driver instead.
+    ask = probe.join(F.broadcast(load.join(F.broadcast(cells), ["segment", "cell"])), ["segment", "cell"])
     ask = ask.withColumn("batch", F.pmod(F.xxhash64("code", F.lit(2)), F.col("batches")).cast("int")).withColumn("block", every("blocks"))
-    have = index.join(load, ["segment", "cell"]).withColumn("batch", every("batches"))
+    have = index.join(F.broadcast(load), ["segment", "cell"]).withColumn("batch", every("batches"))
 
     def search(mine: pa.Table, theirs: pa.Table) -> pa.Table:
         out: list[tuple[int, int, int]] = []
@@ -138,7 +140,7 @@ def top_k(
     home = F.explode(F.array(*(F.struct(F.lit(j).alias("segment"), cell_of("code", j, width, prefix).alias("cell")) for j in range(segments))))
     placed = entries.select("code", "ids", home.alias("at")).select("code", "ids", "at.*")
     cells = cut(placed.groupBy("segment", "cell").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")))
-    index = cut(placed.join(cells, ["segment", "cell"]).withColumn("block", F.pmod(F.xxhash64("code", F.lit(1)), F.col("blocks")).cast("int")).drop("blocks"))
+    index = cut(placed.join(F.broadcast(cells), ["segment", "cell"]).withColumn("block", F.pmod(F.xxhash64("code", F.lit(1)), F.col("blocks")).cast("int")).drop("blocks"))
 
     # a row without a neighbour stands for those not found yet; it is farther than any other
     wanted = cut(coded.where(asks))

@@ -381,3 +381,31 @@ def test_top_k(spark):
     few = hamming.top_k(df.where("vec_id < 4"), F.col("vec_id") >= 0, k=10).collect()
     assert len(few) == 12
     assert hamming.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def broadcast_rows(spark):
+    """Rows of each broadcast of all queries so far."""
+    store, out = spark._jsparkSession.sharedState().statusStore(), []
+    executions = store.executionsList()
+    for i in range(executions.size()):
+        at = executions.apply(i).executionId()
+        nodes, values = store.planGraph(at).allNodes(), store.executionMetrics(at)
+        for n in (nodes.apply(j) for j in range(nodes.size())):
+            if n.name() == "BroadcastExchange":
+                metrics = (n.metrics().apply(j) for j in range(n.metrics().size()))
+                out += [int(values.apply(m.accumulatorId()).replace(",", "")) for m in metrics if m.name() == "number of output rows" and values.contains(m.accumulatorId())]
+    return out
+
+
+def test_queries_are_not_broadcast_to_their_cells(spark):
+    n, k = 1500, 2
+    vectors = np.random.default_rng(4).normal(size=(n, 64))
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    before = len(broadcast_rows(spark))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    try:
+        assert hamming.top_k(df, F.col("vec_id") >= 0, k=k).count() == n * k
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert max(broadcast_rows(spark)[before:]) <= n * (k + 1)  # the results; in the first round alone the queries ask 20 * n cells

@@ -1,9 +1,11 @@
 """Near-duplicates by similarity: sets of five-word shingles whose Jaccard similarity is 0.8 or more are linked.
 
-Candidates: BANDS keys of ROWS minima each, of the set under as many hash functions. A pair at 0.8 shares no key once
-in 300,000 times, a closer one less often. Inside a block of one key, 64 of the minima, two bits each, tell which pairs
-are surely below 0.8 (six standard deviations); what is left makes candidate groups. Inside those the similarity of
-every pair that is not connected yet is counted exactly, from the shingles themselves.
+Candidates come from two sources. The pivot distance tables of ``simhash`` link sets whose SimHash fingerprints, taken
+from the same shingles, differ in at most its RADIUS bits; they lose none of these. Most pairs at 0.8 are farther apart
+than that, so sets also meet by BANDS keys of ROWS minima each, of the set under as many hash functions. A pair at 0.8
+shares no key once in 300,000 times, a closer one less often. Inside a block of one key, 64 of the minima, two bits
+each, tell which pairs are surely below 0.8 (six standard deviations). The links of both sources make candidate groups.
+Inside those the similarity of every pair that is not connected yet is counted exactly, from the shingles themselves.
 
 Blocks and groups larger than CHUNK are dealt out as pairs of chunks, and only spanning links leave them.
 
@@ -21,6 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import as_bytes, cut, map_batches
 from .components import components
 
@@ -53,14 +56,15 @@ def minima(h: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def sketched(keyed: DataFrame) -> DataFrame:
-    """key, doc_id, set (a digest of the shingles), blocks, s0 and s1 for the (key, doc_id, text) rows."""
+    """key, doc_id, set (a digest of the shingles), fp (their fingerprint), blocks, s0 and s1 for the (key, doc_id, text) rows."""
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         a, b = functions()
-        sets, blocks, sketches = [], [], []
+        sets, prints, blocks, sketches = [], [], [], []
         for raw in as_bytes(batch.column(2)):
             h = shingles(raw or b"")
             sets.append(xxhash.xxh3_64_intdigest(h.tobytes()))
+            prints.append(simhash.majority(h))
             least = minima(h, a, b)
             blocks.append([xxhash.xxh3_64_intdigest(x.tobytes(), i) for i, x in enumerate(least.reshape(BANDS, ROWS))])
             low = np.stack([least[:SKETCH] >> np.uint64(40) & np.uint64(1), least[:SKETCH] >> np.uint64(41) & np.uint64(1)], 1).astype(np.uint8)
@@ -69,10 +73,10 @@ def sketched(keyed: DataFrame) -> DataFrame:
         s = np.array(sketches, np.uint64)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), longs(blocks))
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), longs(sets), lists, longs(s[:, 0].copy()), longs(s[:, 1].copy())], ["key", "doc_id", "set", "blocks", "s0", "s1"]
+            [batch.column(0), batch.column(1), longs(sets), longs(prints), lists, longs(s[:, 0].copy()), longs(s[:, 1].copy())], ["key", "doc_id", "set", "fp", "blocks", "s0", "s1"]
         )
 
-    return map_batches(keyed, rows, "key string, doc_id long, set long, blocks array<long>, s0 long, s1 long")
+    return map_batches(keyed, rows, "key string, doc_id long, set long, fp long, blocks array<long>, s0 long, s1 long")
 
 
 def agreeing(x: Column) -> Column:
@@ -136,11 +140,20 @@ def candidates(heads: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return twos.union(more).distinct()
 
 
+def pivoted(heads: DataFrame) -> DataFrame:
+    """a, b: links that span all pairs of sets whose fingerprints differ in at most simhash.RADIUS bits."""
+    first = cut(heads.groupBy("fp").agg(F.min("set").alias("a")))
+    same = heads.select("fp", F.col("set").alias("b")).join(first, "fp").where("a <> b").select("a", "b")
+    near = simhash.links(first).join(first.select(F.col("fp").alias("a"), F.col("a").alias("x")), "a")
+    near = near.join(first.select(F.col("fp").alias("b"), F.col("a").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    return same.union(near)
+
+
 def links(keyed: DataFrame, prints: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """a, b: links whose components are those of all pairs of sets with similarity SIMILAR or more."""
-    heads = prints.groupBy("set").agg(F.min("key").alias("key"), F.first("blocks").alias("blocks"), F.first("s0").alias("s0"), F.first("s1").alias("s1"))
+    heads = prints.groupBy("set").agg(F.min("key").alias("key"), F.first("fp").alias("fp"), F.first("blocks").alias("blocks"), F.first("s0").alias("s0"), F.first("s1").alias("s1"))
     heads = cut(heads)
-    found = components(candidates(heads, chunk))
+    found = components(pivoted(heads).union(candidates(heads, chunk)))
     found = cut(found.union(found.select("label", "label").distinct()))  # node, label: also the smallest node of each
     members = found.join(heads.select(F.col("set").alias("node"), F.col("key").alias("head")), "node")
     members = members.join(found.groupBy("label").agg(F.count("*").alias("n")), "label")

@@ -47,6 +47,11 @@ def fingerprint(raw: bytes, k: int = SHINGLE) -> int:
         starts = np.concatenate(([0], ends[: -k])).tolist()
         digest = xxhash.xxh64_intdigest
         h = np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, (ends[k - 1 :] - 1).tolist())), np.uint64, len(starts))
+    return majority(h)
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half the hashes; zero if there are none."""
     ones = np.zeros(BITS, np.int64)
     for o in range(0, len(h), 1 << 16):
         ones += np.unpackbits(h[o : o + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)

@@ -649,6 +649,24 @@ def test_planted_near_copies(spark):
     assert len(kept) == len({*label})
 
 
+def test_pivots_find_near_copies_themselves(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(i, t) for i, t in enumerate(prose(rng, 30, 900))]
+    rows += [(100 + i, t + " and more") for i, t in rows] + [(200 + i, t.replace(" ", "  ", 1)) for i, t in rows[:30]] + [(300, ""), (301, None)]
+    fps = [simhash.majority(shingles.shingles((t or "").encode())) for _, t in rows]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= simhash.RADIUS:
+                assert 5 * len(shingle_set(rows[i][1]) & shingle_set(rows[j][1])) >= 4 * len(shingle_set(rows[i][1]) | shingle_set(rows[j][1]))
+                label = [label[j] if x == label[i] else x for x in label]
+    assert 31 <= len({*label}) < 60
+    none = lambda heads, chunk: heads.select(F.col("set").alias("a"), F.col("set").alias("b")).limit(0)
+    monkeypatch.setattr(shingles, "candidates", none)  # without the bands
+    kept = [r.doc_id for r in corpus_pipeline.near_dedup(spark, docs(spark, rows), "").collect()]
+    assert sorted(kept) == sorted(min(rows[i][0] for i in range(len(rows)) if label[i] == x) for x in {*label})
+
+
 def test_dealt_chunks_lose_no_link():
     rng = random.Random(3)
     pairs = {(rng.randrange(30), rng.randrange(30)) for _ in range(25)}

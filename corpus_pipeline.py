@@ -19,7 +19,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document stays of those that share four fifths of their five-word shingles."""
+    """One document stays of those that share four fifths of their five-word shingles, found by SimHash pivots and MinHash bands."""
     return representatives(docs, similar)
 
 
